@@ -19,20 +19,30 @@ def to_long(c: Column | str) -> Column:
     return F.bround(c).cast("bigint")
 
 
+def rounded(c: Column | str, digits: int) -> Column:
+    """Round a double half away from zero, on its scaled binary value.
+
+    ``F.round`` works on the printed decimal instead, so 1.005 and its like would differ from what
+    SQL engines return for doubles. Decimals need no such care; use ``F.round`` for them.
+    """
+    scale = F.lit(10.0**digits)
+    return F.round((F.col(c) if isinstance(c, str) else c).cast("double") * scale) / scale
+
+
 def safe_ratio(top: Column, bottom: Column, digits: int | None = None) -> Column:
     """Quotient, NULL where the divisor is zero."""
     quotient = top / F.nullif(bottom, F.lit(0))
-    return quotient if digits is None else F.round(quotient, digits)
+    return quotient if digits is None else rounded(quotient, digits)
 
 
 def pct_change(now: Column, before: Column, digits: int = 2) -> Column:
     """Growth in percent, computed as double."""
     now, before = now.cast("double"), before.cast("double")
-    return F.round(F.lit(100.0) * (now - before) / F.nullif(before, F.lit(0.0)), digits)
+    return rounded(F.lit(100.0) * (now - before) / F.nullif(before, F.lit(0.0)), digits)
 
 
 def pct_of(part: Column, whole: Column, digits: int = 2) -> Column:
-    return F.round(F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
+    return rounded(F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterline.functions.numbers import rounded
 from meterline.operators.percentiles import exact_percentiles
 
 
@@ -59,7 +60,7 @@ def missing_values(df: DataFrame) -> DataFrame:
         .select(
             "r.column_name",
             "r.missing_count",
-            F.round(F.lit(100.0) * F.col("r.missing_count") / F.col("_rows"), 2).alias("missing_pct"),
+            rounded(F.lit(100.0) * F.col("r.missing_count") / F.col("_rows"), 2).alias("missing_pct"),
         )
     )
 
@@ -79,7 +80,7 @@ def match_share(df: DataFrame, rule: Column) -> DataFrame:
     return df.agg(
         F.count_if(rule).alias("matching"),
         F.count(F.lit(1)).alias("total"),
-        F.round(
+        rounded(
             F.lit(100.0) * F.count_if(rule) / F.nullif(F.count(F.lit(1)), F.lit(0)), 2
         ).alias("matching_pct"),
     )

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterline.functions.numbers import rounded
 from meterline.operators.joins import unmatched_keys
 
 COMPARISONS = {
@@ -253,5 +254,5 @@ def reconcile(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFram
         left.alias("source_rows"),
         right.alias("target_rows"),
         (left == right).alias("is_match"),
-        F.round(F.lit(100.0) * F.abs(left - right) / F.nullif(left, F.lit(0)), 2).alias("diff_pct"),
+        rounded(F.lit(100.0) * F.abs(left - right) / F.nullif(left, F.lit(0)), 2).alias("diff_pct"),
     )

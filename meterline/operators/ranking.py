@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.functions.numbers import rounded
+
 
 def top_n(df: DataFrame, by: str, n: int, ties: list[str], ascending: bool = False) -> DataFrame:
     first = F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last()
@@ -14,7 +16,7 @@ def top_n(df: DataFrame, by: str, n: int, ties: list[str], ascending: bool = Fal
 def share_of_total(grouped: DataFrame, measure: str, name: str, digits: int = 2) -> DataFrame:
     """Percentage of the overall sum. For grouped input, which is small."""
     total = F.sum(measure).over(Window.partitionBy()).cast("double")
-    return grouped.withColumn(name, F.round(F.lit(100.0) * F.col(measure) / F.nullif(total, F.lit(0.0)), digits))
+    return grouped.withColumn(name, rounded(F.lit(100.0) * F.col(measure) / F.nullif(total, F.lit(0.0)), digits))
 
 
 def extreme_days(per_day: DataFrame, day: str, measure: str) -> DataFrame:

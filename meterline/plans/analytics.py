@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.functions.labels import month_label, payment_label, rate_label
-from meterline.functions.numbers import pct_change
+from meterline.functions.numbers import pct_change, rounded
 from meterline.operators.joins import join_null_safe
 from meterline.operators.percentiles import exact_percentiles
 from meterline.operators.ranking import share_of_total, top_n
@@ -29,10 +29,10 @@ def fare_percentiles(fct: DataFrame) -> DataFrame:
     shares = {"p90_fare": 0.90, "p95_fare": 0.95, "p97_fare": 0.97}
     figures = paid.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("trip_count"),
-        F.round(F.sum("fare_amount").cast("double") / F.count("fare_amount"), 2).alias("avg_fare"),
+        rounded(F.sum("fare_amount").cast("double") / F.count("fare_amount"), 2).alias("avg_fare"),
         F.round(F.min("fare_amount"), 2).alias("min_fare"),
         F.round(F.max("fare_amount"), 2).alias("max_fare"),
-        F.round(F.sum("trip_distance").cast("double") / F.count("trip_distance"), 2).alias("avg_distance"),
+        rounded(F.sum("trip_distance").cast("double") / F.count("trip_distance"), 2).alias("avg_distance"),
     )
     return join_null_safe(exact_percentiles(paid, keys, "fare_amount", shares), figures, keys)
 
@@ -75,7 +75,7 @@ def revenue_growth(fct: DataFrame, zones: DataFrame) -> DataFrame:
         "prev_month_trip_count",
         pct_change(F.col("_revenue"), F.col("_before")).alias("mom_growth_pct"),
         pct_change(F.col("trip_count"), F.col("prev_month_trip_count")).alias("mom_trip_growth_pct"),
-        F.round(F.col("_revenue").cast("double") / F.nullif(F.col("trip_count"), F.lit(0)), 2).alias(
+        rounded(F.col("_revenue").cast("double") / F.nullif(F.col("trip_count"), F.lit(0)), 2).alias(
             "revenue_per_trip"
         ),
     )
@@ -102,7 +102,7 @@ def payment_analysis(fct: DataFrame, as_of: Column | str | None = None, days: in
         rate_label("rate_code_id").alias("rate_type"),
         "trip_count",
         F.round("_sum", 2).alias("total_revenue"),
-        F.round(F.col("_sum").cast("double") / F.nullif(F.col("_n"), F.lit(0)), 2).alias("avg_revenue"),
+        rounded(F.col("_sum").cast("double") / F.nullif(F.col("_n"), F.lit(0)), 2).alias("avg_revenue"),
     )
 
 
@@ -139,8 +139,8 @@ def revenue_volatility(growth: DataFrame, months: int = 12, n: int = 10) -> Data
     return top_n(per_zone, "_swing", n, ["pickup_zone", "service_type"]).select(
         "pickup_zone",
         "service_type",
-        F.round("_swing", 2).alias("volatility_stddev"),
-        F.round("_mean", 0).alias("avg_revenue"),
+        rounded("_swing", 2).alias("volatility_stddev"),
+        rounded("_mean", 0).alias("avg_revenue"),
         "months_tracked",
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.functions.numbers import safe_ratio
+from meterline.functions.numbers import rounded, safe_ratio
 from meterline.functions.timeparts import month_start, weekday_from_one
 
 AMOUNTS = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount"]
@@ -30,7 +30,7 @@ def fact_trips(staged: DataFrame, stamped: bool = False) -> DataFrame:
         "trip_distance",
         "trip_duration_minutes",
         *AMOUNTS,
-        F.round(F.col("trip_distance") / F.nullif("trip_duration_minutes", F.lit(0)) * 60, 2).alias("avg_speed_mph"),
+        rounded(F.col("trip_distance") / F.nullif("trip_duration_minutes", F.lit(0)) * 60, 2).alias("avg_speed_mph"),
         safe_ratio(F.col("total_amount"), F.col("trip_distance"), 2).alias("revenue_per_mile"),
     )
     return out.withColumn("created_at", F.current_timestamp()) if stamped else out
@@ -71,7 +71,7 @@ def monthly_kpis(fact: DataFrame) -> DataFrame:
         return F.sum(f"sum_{name}")
 
     def mean(name: str) -> Column:
-        return F.round(total(name).cast("double") / F.nullif(F.sum(f"cnt_{name}"), F.lit(0)), 2)
+        return rounded(total(name).cast("double") / F.nullif(F.sum(f"cnt_{name}"), F.lit(0)), 2)
 
     metrics = pairs.groupBy(*month).agg(
         F.sum("trips").alias("total_trips"),
@@ -93,5 +93,5 @@ def monthly_kpis(fact: DataFrame) -> DataFrame:
     before = F.lag("total_revenue").over(Window.orderBy(*month))
     now, prev = F.col("total_revenue").cast("double"), F.col("prev_month_revenue").cast("double")
     return metrics.withColumn("prev_month_revenue", before).withColumn(
-        "revenue_growth_pct", F.round((now - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2)
+        "revenue_growth_pct", rounded((now - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2)
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterline.functions.numbers import rounded
 from meterline.functions.timeparts import elapsed_hours, on_day, within
 from meterline.operators.ranking import top_n
 
@@ -118,5 +119,5 @@ def anomaly_rate(trips: DataFrame, value: str, deviations: float = 3.0) -> DataF
     return marked.agg(
         F.count_if("_high").alias("anomalies"),
         F.count(F.lit(1)).alias("total_rows"),
-        F.round(F.count_if("_high") * 1.0 / F.nullif(F.count(F.lit(1)), F.lit(0)), 6).alias("anomaly_ratio"),
+        rounded(F.count_if("_high") * 1.0 / F.nullif(F.count(F.lit(1)), F.lit(0)), 6).alias("anomaly_ratio"),
     )

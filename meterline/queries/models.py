@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from meterline.functions.numbers import rounded
 from meterline.functions.keys import surrogate_key
 from meterline.functions.timeparts import boundary_minutes, elapsed_minutes, weekday_from_one
 from meterline.plans import analytics, marts, platform, staging
@@ -124,7 +125,7 @@ def date_parts(spark, sf_dir):
 @query(
     "duration_minutes",
     """WITH gaps AS (SELECT user_id, ts AS start_ts, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS end_ts FROM events)
-    SELECT user_id, SUM(date_diff('minute', start_ts, end_ts)) AS boundary_minutes,
+    SELECT user_id, CAST(SUM(date_diff('minute', start_ts, end_ts)) AS BIGINT) AS boundary_minutes,
     CAST(SUM(floor((epoch_us(end_ts) - epoch_us(start_ts)) / 60000000)) AS BIGINT) AS elapsed_minutes
     FROM gaps WHERE end_ts IS NOT NULL GROUP BY user_id""",
 )
@@ -185,7 +186,7 @@ PERCENTILES_SQL = FCT_SQL + """, percentiles AS (
 
 def _fare_percentiles(spark, sf_dir):
     table = analytics.fare_percentiles(fct(spark, sf_dir, []))
-    return table.withColumns({c: F.round(c, 4) for c in ("p90_fare", "p95_fare", "p97_fare")})
+    return table.withColumns({c: rounded(c, 4) for c in ("p90_fare", "p95_fare", "p97_fare")})
 
 
 @query("fare_percentiles", f"WITH {PERCENTILES_SQL} SELECT * FROM percentiles")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from meterline.functions.numbers import rounded
 from meterline.operators import profile
 from meterline.queries.base import RAW, query
 from meterline.sources.sample import raw_trips, table
@@ -21,8 +22,8 @@ def _describe_sql(column: str) -> str:
 @query("describe_numeric", f"WITH {RAW} " + " UNION ALL ".join(_describe_sql(c) for c in NUMERIC))
 def describe_numeric(spark, sf_dir):
     rows = profile.describe(raw_trips(spark, sf_dir, None, NUMERIC), NUMERIC)
-    rounded = ("mean_value", "std_value", "q25_value", "q50_value", "q75_value")
-    return rows.withColumns({c: F.round(c, 4) for c in rounded})
+    figures = ("mean_value", "std_value", "q25_value", "q50_value", "q75_value")
+    return rows.withColumns({c: rounded(c, 4) for c in figures})
 
 
 @query(
@@ -70,7 +71,7 @@ def anomaly_counts(spark, sf_dir):
 )
 def median_mean(spark, sf_dir):
     return profile.median_and_mean(raw_trips(spark, sf_dir, None, ["total_amount"]), "total_amount").select(
-        F.round("median_value", 4).alias("median_value"), F.round("mean_value", 4).alias("mean_value")
+        rounded("median_value", 4).alias("median_value"), rounded("mean_value", 4).alias("mean_value")
     )
 
 
@@ -84,7 +85,7 @@ def median_mean(spark, sf_dir):
 )
 def histogram(spark, sf_dir):
     bins = profile.histogram(raw_trips(spark, sf_dir, None, ["trip_distance"]), "trip_distance", 50, 100.0)
-    return bins.withColumns({c: F.round(c, 6) for c in ("bin_start", "bin_end")})
+    return bins.withColumns({c: rounded(c, 6) for c in ("bin_start", "bin_end")})
 
 
 @query(
@@ -96,7 +97,7 @@ def histogram(spark, sf_dir):
 )
 def box_stats(spark, sf_dir):
     rows = profile.box_stats(raw_trips(spark, sf_dir, None, ["payment_type", "fare_amount"]), "fare_amount", ["payment_type"])
-    return rows.withColumns({c: F.round(c, 4) for c in ("q1", "median", "q3", "lower_fence", "upper_fence")})
+    return rows.withColumns({c: rounded(c, 4) for c in ("q1", "median", "q3", "lower_fence", "upper_fence")})
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from meterline.functions.numbers import rounded
 from meterline.operators import quality as dq
 from meterline.queries.base import (
     FACT2_SQL,
@@ -64,14 +65,14 @@ UNION ALL """ + " UNION ALL ".join(_ratio_sql(n, "green") for n in RATIOS)
 @query("dq_report", SUITE_SQL)
 def dq_report(spark, sf_dir):
     report = dq.run_checks(raw_trips(spark, sf_dir, "green"), monthly_suite(PICKUP, DROPOFF))
-    return report.withColumn("value", F.round("value", 6))
+    return report.withColumn("value", rounded("value", 6))
 
 
 @query("dq_ratio_checks", f"WITH {RAW} " + " UNION ALL ".join(_ratio_sql(n, "raw") for n in RATIOS))
 def dq_ratio_checks(spark, sf_dir):
     checks = [c for c in monthly_suite(PICKUP, DROPOFF) if c.kind == "custom"]
     columns = ["passenger_count", "total_amount", "PULocationID", "DOLocationID"]
-    return dq.run_checks(raw_trips(spark, sf_dir, None, columns), checks).withColumn("value", F.round("value", 6))
+    return dq.run_checks(raw_trips(spark, sf_dir, None, columns), checks).withColumn("value", rounded("value", 6))
 
 
 def _rule_sql(test: str, column: str, broken: str, source: str, severity: str = "error") -> str:
@@ -183,7 +184,7 @@ def dq_positive_fares(spark, sf_dir):
 def dq_freshness(spark, sf_dir):
     raw = raw_trips(spark, sf_dir, "green", [PICKUP])
     out = dq.freshness(raw, PICKUP, F.lit("2001-08-03 00:00:00").cast("timestamp"))
-    return out.withColumn("age_hours", F.round("age_hours", 4))
+    return out.withColumn("age_hours", rounded("age_hours", 4))
 
 
 ROW_RULES = {

@@ -12,7 +12,7 @@ from meterline.queries.base import GREEN, RAW, ZONES, query
 from meterline.schemas import DOUBLE, INT, LONG, TEXT, struct
 from meterline.schemas import ZONES as ZONE_SCHEMA
 from meterline.session import pin_settings, run_dir
-from meterline.sinks.tables import rebalanced
+from meterline.sinks.tables import rebalanced, spread_small_writes
 from meterline.sources import catalog, files, messages, pages
 from meterline.sources.sample import raw_trips, raw_zones, table
 from meterline.streaming.jobs import replay_messages
@@ -27,7 +27,8 @@ def land_monthly(spark, sf_dir, service: str, prefix: str) -> str:
     """Raw trips of a service as monthly Parquet folders."""
     root, month = run_dir(spark, "monthly"), f"{service}_tripdata_"
     trips = raw_trips(spark, sf_dir, service).withColumn(month, F.date_format(f"{prefix}_pickup_datetime", "yyyy-MM"))
-    rebalanced(trips, month).write.partitionBy(month).parquet(root)
+    with spread_small_writes(spark):
+        rebalanced(trips, month).write.partitionBy(month).parquet(root)
     return root
 
 
@@ -61,14 +62,15 @@ def scan_zones(spark, sf_dir):
 def scan_csv_gz(spark, sf_dir):
     root, month = run_dir(spark, "csv"), "yellow_tripdata_"
     trips = raw_trips(spark, sf_dir, "yellow").withColumn(month, F.date_format("tpep_pickup_datetime", "yyyy-MM"))
-    (
-        rebalanced(trips, month)
-        .write.partitionBy(month)
-        .option("header", "true")
-        .option("compression", "gzip")
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(root)
-    )
+    with spread_small_writes(spark):
+        (
+            rebalanced(trips, month)
+            .write.partitionBy(month)
+            .option("header", "true")
+            .option("compression", "gzip")
+            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+            .csv(root)
+        )
     loaded = files.drop_missing_pickup(files.read_month_csv(spark, root, "yellow"), "yellow")
     return loaded.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -192,7 +194,7 @@ def ride_messages(spark, sf_dir):
 
 
 RIDES_SQL = """SELECT user_id AS "PULocationID", user_id + 1 AS "DOLocationID", value AS trip_distance, value AS total_amount,
-epoch_ms(ts) AS tpep_pickup_datetime, date_trunc('milliseconds', ts) AS event_timestamp FROM events"""
+epoch_us(ts) // 1000 AS tpep_pickup_datetime, date_trunc('milliseconds', ts) AS event_timestamp FROM events"""
 
 
 @query("ride_decode", RIDES_SQL)

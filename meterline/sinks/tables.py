@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,22 @@ def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
+@contextmanager
+def spread_small_writes(spark: SparkSession):
+    """Let AQE keep small shuffle partitions apart during a write into many folders.
+
+    Opening a file costs more than filling a small one, so the folders of a small table should not
+    all be written by one task. Large writes are cut by the advisory size and do not notice.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def load_table(df: DataFrame, name: str, if_exists: str = "replace", path: str | None = None) -> bool:
     """Load a catalog table, external where a path is given.
 
@@ -85,7 +102,8 @@ def write_clustered(
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if parts:
         writer = writer.partitionBy(*parts)
-    writer.parquet(path)
+    with spread_small_writes(df.sparkSession):
+        writer.parquet(path)
 
 
 def reload_partitions(df: DataFrame, path: str, expected: list[tuple[int, int]]) -> dict[tuple[int, int], int]:
@@ -98,15 +116,19 @@ def reload_partitions(df: DataFrame, path: str, expected: list[tuple[int, int]])
     names = {ym: f"m{ym[0]}_{ym[1]}" for ym in expected}
     watched = df.observe(
         seen,
+        F.count(F.lit(1)).alias("rows"),
         *[F.count_if((F.col("year") == y) & (F.col("month") == m)).alias(n) for (y, m), n in names.items()],
     )
-    (
-        rebalanced(watched, "year", "month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "month")
-        .parquet(path)
-    )
+    with spread_small_writes(df.sparkSession):
+        (
+            rebalanced(watched, "year", "month")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("year", "month")
+            .parquet(path)
+        )
+    if seen.get["rows"] == 0:
+        raise ValueError("no rows to load")
     counts = {ym: seen.get[n] for ym, n in names.items()}
     empty = sorted(ym for ym, n in counts.items() if n == 0)
     if empty:

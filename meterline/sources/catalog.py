@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.functions.numbers import rounded
+
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
@@ -49,7 +51,7 @@ def file_stats(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("file_count"),
         F.sum("row_count").alias("row_count"),
         F.sum("size_bytes").alias("total_bytes"),
-        F.round(F.avg("size_bytes") / F.lit(1024 * 1024), 2).alias("avg_mb"),
+        rounded(F.avg("size_bytes") / F.lit(1024 * 1024), 2).alias("avg_mb"),
         F.min("size_bytes").alias("smallest_bytes"),
     )
 
@@ -65,7 +67,7 @@ def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
                 F.coalesce("row_count", F.lit(0)).alias("row_count"),
                 F.lit(len(df.columns)).cast("bigint").alias("column_count"),
                 F.coalesce("size_bytes", F.lit(0)).alias("size_bytes"),
-                F.round(F.coalesce("size_bytes", F.lit(0)) / F.lit(1e9), 2).alias("size_gb"),
+                rounded(F.coalesce("size_bytes", F.lit(0)) / F.lit(1e9), 2).alias("size_gb"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
