@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = "decimal(18,3)"
+MILL = Decimal("0.001")
 
 
 def to_int(c: Column | str) -> Column:
@@ -22,11 +24,19 @@ def to_long(c: Column | str) -> Column:
 def rounded(c: Column | str, digits: int) -> Column:
     """Round a double half away from zero, on its scaled binary value.
 
-    ``F.round`` works on the printed decimal instead, so 1.005 and its like would differ from what
-    SQL engines return for doubles. Decimals need no such care; use ``F.round`` for them.
+    ``F.round`` prints the double and rounds the text. That is slow, and for 1.005 and its like it
+    differs from what SQL engines return. Decimals need no such care; use ``F.round`` for them.
     """
-    scale = F.lit(10.0**digits)
-    return F.round((F.col(c) if isinstance(c, str) else c).cast("double") * scale) / scale
+    value = (F.col(c) if isinstance(c, str) else c).cast("double")
+    scaled = value * F.lit(10.0**digits)
+    whole = F.signum(scaled) * F.floor(F.abs(scaled) + 0.5) / F.lit(10.0**digits)
+    return F.when(F.abs(scaled) < F.lit(2.0**52), whole).otherwise(value)
+
+
+def to_money(c: Column | str) -> Column:
+    """Number to DECIMAL(18,3) by way of thousandths; a plain cast prints and parses each double."""
+    value = F.col(c) if isinstance(c, str) else c
+    return (F.rint(value.cast("double") * 1000).cast("bigint").cast("decimal(18,0)") * F.lit(MILL)).cast(MONEY)
 
 
 def safe_ratio(top: Column, bottom: Column, digits: int | None = None) -> Column:

@@ -9,6 +9,9 @@ group holding a third of the rows would break. Here the work goes in steps:
 4. sort only those ranges, each on its own, and read the values off.
 
 The sketch only balances the ranges. The ranks are exact whatever it returns.
+
+Steps 2 to 4 all start from the counts of step 1. Measures travel in arrays so that column pruning
+leaves every use of the counts alike and Spark runs the scan and its shuffle once.
 """
 
 from __future__ import annotations
@@ -21,69 +24,90 @@ from pyspark.sql import functions as F
 from meterline.operators.joins import join_null_safe
 
 RANGES = 64
+POINTS = [i / RANGES for i in range(1, RANGES)]
+EXACT = "decimal(38,6)"
 
 
-def _rank_column(share: float, upper: bool) -> Column:
-    position = F.lit(share) * (F.col("_total") - 1)
+def _rank(share: float, upper: bool) -> Column:
+    position = F.lit(share) * (F.col("value_count") - 1)
     return (F.ceil(position) if upper else F.floor(position)).cast("bigint")
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+def _inside(rank: Column, start: str, size: str) -> Column:
+    return (rank >= F.col(start)) & (rank < F.col(start) + F.col(size))
+
+
+def _number_ranges(df: DataFrame) -> DataFrame:
+    """Number of cuts below the value, by quartering the cut list."""
+    df = df.withColumn("_range", F.lit(0))
+    step = RANGES // 4
+    while step:
+        jump = F.lit(0)
+        for quarter in (1, 2, 3):
+            cut = F.get("_facts", F.col("_range") + (quarter * step - 1))
+            jump = F.when(cut < F.col("_value"), quarter * step).otherwise(jump)
+        df = df.withColumn("_range", F.col("_range") + jump)
+        step //= 4
+    return df
+
+
+def exact_percentiles(
+    df: DataFrame, keys: list[str], value: str, shares: dict[str, float], sums: dict[str, Column] | None = None
+) -> DataFrame:
     """One row per group with one column per entry of ``shares`` (output name to share in 0..1).
 
     Values between two ranks are interpolated linearly. NULL values are left out, as are groups
-    without any value.
+    without any value. The result also has ``value_count``, ``value_min``, ``value_max`` and the
+    totals named in ``sums``, which cost no further pass.
     """
-    ranks = {(share, upper) for share in shares.values() for upper in (False, True)}
+    extra = sums or {}
     counted = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("double").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.array(F.count(F.lit(1)).cast(EXACT), *[F.sum(c).cast(EXACT) for c in extra.values()]).alias("_m"))
     )
-    points = [i / RANGES for i in range(1, RANGES)]
-    sketch = F.percentile_approx("_value", points, 10000).alias("_cuts")
+    facts = {
+        "value_count": F.sum(F.get("_m", F.lit(0))).cast("double"),
+        "value_min": F.min("_value"),
+        "value_max": F.max("_value"),
+        **{name: F.sum(F.get("_m", F.lit(i))).cast("double") for i, name in enumerate(extra, 1)},
+    }
+    summary = F.concat(F.percentile_approx("_value", POINTS, 10000), F.array(*facts.values())).alias("_facts")
     if keys:
-        placed = join_null_safe(counted, counted.groupBy(*keys).agg(sketch), keys)
+        placed = join_null_safe(counted, counted.groupBy(*keys).agg(summary), keys)
     else:
-        placed = counted.withColumn("_cuts", counted.agg(sketch).scalar())
-    placed = placed.select(
-        *keys, "_value", "_n", F.size(F.filter("_cuts", lambda cut: cut < F.col("_value"))).alias("_range")
-    )
+        placed = counted.withColumn("_facts", counted.agg(summary).scalar())
+    placed = _number_ranges(placed).withColumn("_n", F.get("_m", F.lit(0)).cast("bigint"))
 
     # At most RANGES rows per group from here, so a window over the group is small.
-    sums = placed.groupBy(*keys, "_range").agg(F.sum("_n").alias("_size"))
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = sums.withColumn("_before", F.sum("_size").over(upto) - F.col("_size"))
-    sums = sums.withColumn("_total", F.sum("_size").over(group))
-
-    def inside(rank: Column, start: Column, size: Column) -> Column:
-        return (rank >= start) & (rank < start + size)
-
-    wanted = reduce(
-        lambda a, b: a | b,
-        [inside(_rank_column(s, u), F.col("_before"), F.col("_size")) for s, u in sorted(ranks)],
+    sizes = placed.groupBy(*keys, "_range").agg(
+        F.sum("_n").alias("_size"),
+        *[F.max(F.get("_facts", F.lit(i))).alias(name) for i, name in enumerate(facts, RANGES - 1)],
+    )
+    upto = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = sizes.withColumns(
+        {"_before": F.sum("_size").over(upto) - F.col("_size"), "value_count": F.col("value_count").cast("bigint")}
     )
-    hits = sums.where(wanted).select(*keys, "_range", "_before", "_total")
-    narrowed = join_null_safe(placed, hits, [*keys, "_range"])
+    ranks = sorted({(share, upper) for share in shares.values() for upper in (False, True)})
+    wanted = reduce(lambda a, b: a | b, [_inside(_rank(*r), "_before", "_size") for r in ranks])
+    hits = sizes.where(wanted).drop("_size")
+
+    narrowed = join_null_safe(placed.select(*keys, "_range", "_value", "_n"), hits, [*keys, "_range"])
     in_range = (
         Window.partitionBy(*keys, "_range")
         .orderBy("_value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     ranked = narrowed.withColumn("_start", F.col("_before") + F.sum("_n").over(in_range) - F.col("_n"))
-    slots = {rank: f"_at{i}" for i, rank in enumerate(sorted(ranks))}
+    slots = {rank: f"_at{i}" for i, rank in enumerate(ranks)}
     found = ranked.groupBy(*keys).agg(
-        F.max("_total").alias("_total"),
-        *[
-            F.max(F.when(inside(_rank_column(*rank), F.col("_start"), F.col("_n")), F.col("_value"))).alias(slot)
-            for rank, slot in slots.items()
-        ],
+        *[F.max(name).alias(name) for name in facts],
+        *[F.max(F.when(_inside(_rank(*r), "_start", "_n"), F.col("_value"))).alias(slot) for r, slot in slots.items()],
     )
-    columns = []
-    for name, share in shares.items():
+
+    def at(share: float) -> Column:
         low, high = F.col(slots[(share, False)]), F.col(slots[(share, True)])
-        fraction = F.lit(share) * (F.col("_total") - 1) - _rank_column(share, False)
-        columns.append((low + (high - low) * fraction).alias(name))
-    out = found.select(*keys, *columns)
-    return out if keys else out.where(F.col(next(iter(shares))).isNotNull())
+        return low + (high - low) * (F.lit(share) * (F.col("value_count") - 1) - _rank(share, False))
+
+    out = found.where(F.col("value_count").isNotNull())
+    return out.select(*keys, *[at(share).alias(name) for name, share in shares.items()], *facts)

@@ -39,7 +39,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     quartiles = exact_percentiles(
         long_form(df, columns), ["column_name"], "value", {"q25_value": 0.25, "q50_value": 0.5, "q75_value": 0.75}
     )
-    return moments.join(quartiles, "column_name", "left")
+    return moments.join(quartiles.select("column_name", "q25_value", "q50_value", "q75_value"), "column_name", "left")
 
 
 def missing_values(df: DataFrame) -> DataFrame:
@@ -90,11 +90,13 @@ def histogram(df: DataFrame, value: str, bins: int = 50, below: float | None = N
     """Equal-width bins between the smallest and largest value; the last bin is closed."""
     v = F.col(value).cast("double")
     kept = df.where(v.isNotNull() if below is None else v < F.lit(below)).select(v.alias("_v"))
-    bounds = kept.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi"))).scalar()
+    # A single distinct value gets a range of width one around it.
+    pad = F.when(F.min("_v") == F.max("_v"), 0.5).otherwise(0.0)
+    bounds = kept.agg(F.struct((F.min("_v") - pad).alias("lo"), (F.max("_v") + pad).alias("hi"))).scalar()
     numbered = kept.withColumn("_b", bounds)
     width = F.col("_b.hi") - F.col("_b.lo")
-    position = F.floor((F.col("_v") - F.col("_b.lo")) / F.nullif(width, F.lit(0.0)) * bins)
-    bin_no = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0)).cast("bigint")
+    position = F.floor((F.col("_v") - F.col("_b.lo")) / width * bins)
+    bin_no = F.least(position, F.lit(bins - 1)).cast("bigint")
     return (
         numbered.groupBy(bin_no.alias("bin"), F.col("_b.lo").alias("_lo"), width.alias("_width"))
         .agg(F.count(F.lit(1)).alias("value_count"))
@@ -111,9 +113,10 @@ def box_stats(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     """Quartiles per group with the fences at 1.5 times the quartile distance."""
     q = exact_percentiles(df, keys, value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
     spread = F.col("q3") - F.col("q1")
+    q = q.select(*keys, "q1", "median", "q3")
     return q.withColumns({"lower_fence": F.col("q1") - 1.5 * spread, "upper_fence": F.col("q3") + 1.5 * spread})
 
 
 def median_and_mean(df: DataFrame, value: str) -> DataFrame:
     mean = df.agg(F.avg(F.col(value).cast("double")).alias("m")).scalar()
-    return exact_percentiles(df, [], value, {"median_value": 0.5}).withColumn("mean_value", mean)
+    return exact_percentiles(df, [], value, {"median_value": 0.5}).select("median_value", mean.alias("mean_value"))

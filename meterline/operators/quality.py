@@ -138,8 +138,8 @@ class Rule:
         return F.count_if(broken if self.where is None else broken & F.expr(self.where))
 
 
-def not_null(column: str) -> Rule:
-    return Rule("not_null", column, f"{column} IS NOT NULL")
+def not_null(column: str, severity: str = "error") -> Rule:
+    return Rule("not_null", column, f"{column} IS NOT NULL", severity=severity)
 
 
 def accepted_values(column: str, values: list) -> Rule:

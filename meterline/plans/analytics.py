@@ -9,32 +9,31 @@ from pyspark.sql import functions as F
 
 from meterline.functions.labels import month_label, payment_label, rate_label
 from meterline.functions.numbers import pct_change, rounded
-from meterline.operators.joins import join_null_safe
 from meterline.operators.percentiles import exact_percentiles
 from meterline.operators.ranking import share_of_total, top_n
 from meterline.plans.marts import valid_trips
 
 
 def fare_percentiles(fct: DataFrame) -> DataFrame:
-    """P90, P95 and P97 fares per service and month with supporting figures."""
-    keys = ["service_type", "year", "month_number", "month"]
+    """P90, P95 and P97 fares per service and month with supporting figures, from one pass."""
     paid = valid_trips(fct).where((F.col("fare_amount") > 0) & (F.col("trip_distance") > 0)).select(
-        "service_type",
-        F.col("pickup_year").alias("year"),
-        F.col("pickup_month").alias("month_number"),
-        F.date_trunc("month", "pickup_datetime").alias("month"),
-        "fare_amount",
-        "trip_distance",
+        "service_type", F.date_trunc("month", "pickup_datetime").alias("month"), "fare_amount", "trip_distance"
     )
     shares = {"p90_fare": 0.90, "p95_fare": 0.95, "p97_fare": 0.97}
-    figures = paid.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("trip_count"),
-        rounded(F.sum("fare_amount").cast("double") / F.count("fare_amount"), 2).alias("avg_fare"),
-        F.round(F.min("fare_amount"), 2).alias("min_fare"),
-        F.round(F.max("fare_amount"), 2).alias("max_fare"),
-        rounded(F.sum("trip_distance").cast("double") / F.count("trip_distance"), 2).alias("avg_distance"),
-    )
-    return join_null_safe(exact_percentiles(paid, keys, "fare_amount", shares), figures, keys)
+    totals = {"_fares": F.col("fare_amount"), "_distances": F.col("trip_distance")}
+    figures = exact_percentiles(paid, ["service_type", "month"], "fare_amount", shares, totals)
+    return figures.select(
+        "service_type",
+        F.year("month").alias("year"),
+        F.month("month").alias("month_number"),
+        "month",
+        *shares,
+        F.col("value_count").alias("trip_count"),
+        rounded(F.col("_fares") / F.col("value_count"), 2).alias("avg_fare"),
+        rounded("value_min", 2).alias("min_fare"),
+        rounded("value_max", 2).alias("max_fare"),
+        rounded(F.col("_distances") / F.col("value_count"), 2).alias("avg_distance"),
+    )
 
 
 def revenue_growth(fct: DataFrame, zones: DataFrame) -> DataFrame:

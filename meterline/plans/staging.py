@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.keys import surrogate_key
-from meterline.functions.numbers import MONEY, to_int, to_long
+from meterline.functions.numbers import to_int, to_long, to_money
 from meterline.functions.timeparts import elapsed_minutes
 
 MONEY_COLUMNS = [
@@ -29,10 +29,6 @@ def _text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def _money(name: str) -> Column:
-    return F.col(name).cast(MONEY)
-
-
 # Staged name -> raw name and cast. "{p}" stands for the service's prefix of the time columns.
 STAGED = {
     "vendor_id": ("VendorID", to_int),
@@ -42,10 +38,10 @@ STAGED = {
     "pickup_datetime": ("{p}_pickup_datetime", _stamp),
     "dropoff_datetime": ("{p}_dropoff_datetime", _stamp),
     "passenger_count": ("passenger_count", to_int),
-    "trip_distance": ("trip_distance", _money),
+    "trip_distance": ("trip_distance", to_money),
     "store_and_forward_flag": ("store_and_fwd_flag", _text),
     "payment_type": ("payment_type", to_int),
-    **{name: (name, _money) for name in MONEY_COLUMNS},
+    **{name: (name, to_money) for name in MONEY_COLUMNS},
 }
 REQUIRED = ("vendor_id", "pickup_datetime", "dropoff_datetime")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterline.functions.numbers import rounded
+from meterline.jobs.quality_run import RATIO_RULES, monthly_suite
 from meterline.operators import quality as dq
 from meterline.queries.base import (
     FACT2_SQL,
@@ -24,29 +25,8 @@ from meterline.sources.sample import raw_trips
 
 PICKUP, DROPOFF = "lpep_pickup_datetime", "lpep_dropoff_datetime"
 
-RATIOS = {
-    "passenger_count": ("passenger_count < 1", 0.01),
-    "fare_amounts": ("total_amount <= 0 OR total_amount > 1000", 0.01),
-    "location_ids": ("PULocationID IS NULL OR DOLocationID IS NULL", 0.05),
-}
-
-
-def monthly_suite(pickup: str, dropoff: str) -> list[dq.Check]:
-    """The seven checks of the monthly run."""
-    return [
-        dq.Check("data_freshness", "row_count", threshold=0, comparison="gt"),
-        dq.Check("pickup_not_null", "null_check", column=pickup),
-        dq.Check("dropoff_not_null", "null_check", column=dropoff),
-        dq.Check("trip_distances", "range_check", column="trip_distance", threshold=200, comparison="lte"),
-        *[
-            dq.Check(name, "custom", expression=dq.bad_ratio(rule), threshold=limit, comparison="lt")
-            for name, (rule, limit) in RATIOS.items()
-        ],
-    ]
-
-
 def _ratio_sql(name: str, source: str) -> str:
-    rule, limit = RATIOS[name]
+    rule, limit = RATIO_RULES[name]
     ratio = f"CAST(COUNT(*) FILTER ({rule}) AS DOUBLE) / NULLIF(COUNT(*), 0)"
     return (
         f"SELECT '{name}' AS check_name, 'custom' AS kind, 'error' AS severity, ROUND({ratio}, 6) AS value, "
@@ -59,7 +39,7 @@ SELECT 'data_freshness' AS check_name, 'row_count' AS kind, 'error' AS severity,
 UNION ALL SELECT 'pickup_not_null', 'null_check', 'error', CAST(COUNT(*) FILTER (pickup IS NULL) AS DOUBLE), COUNT(*) FILTER (pickup IS NULL) = 0 FROM green
 UNION ALL SELECT 'dropoff_not_null', 'null_check', 'error', CAST(COUNT(*) FILTER (dropoff IS NULL) AS DOUBLE), COUNT(*) FILTER (dropoff IS NULL) = 0 FROM green
 UNION ALL SELECT 'trip_distances', 'range_check', 'error', MAX(trip_distance), MAX(trip_distance) <= 200 FROM green
-UNION ALL """ + " UNION ALL ".join(_ratio_sql(n, "green") for n in RATIOS)
+UNION ALL """ + " UNION ALL ".join(_ratio_sql(n, "green") for n in RATIO_RULES)
 
 
 @query("dq_report", SUITE_SQL)
@@ -68,7 +48,7 @@ def dq_report(spark, sf_dir):
     return report.withColumn("value", rounded("value", 6))
 
 
-@query("dq_ratio_checks", f"WITH {RAW} " + " UNION ALL ".join(_ratio_sql(n, "raw") for n in RATIOS))
+@query("dq_ratio_checks", f"WITH {RAW} " + " UNION ALL ".join(_ratio_sql(n, "raw") for n in RATIO_RULES))
 def dq_ratio_checks(spark, sf_dir):
     checks = [c for c in monthly_suite(PICKUP, DROPOFF) if c.kind == "custom"]
     columns = ["passenger_count", "total_amount", "PULocationID", "DOLocationID"]

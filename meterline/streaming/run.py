@@ -47,6 +47,9 @@ class UpsertTable:
     Each micro-batch is a folder named after its id, and writing a batch again replaces its folder,
     so a retried batch changes nothing. The current row of a key is the one of its newest batch.
     No stored row is ever read or rewritten while streaming.
+
+    Batch ids belong to a checkpoint: a job started afresh needs a new path as well. A long-lived
+    table is compacted now and then, since readers fold all of its batches.
     """
 
     path: str
@@ -79,6 +82,17 @@ def drain_upsert(stream: DataFrame, table: UpsertTable, checkpoint: str) -> None
     query.awaitTermination()
 
 
+def start_upsert(stream: DataFrame, table: UpsertTable, checkpoint: str, every: str = "10 seconds"):
+    """Feed a keyed table continuously in update mode."""
+    return (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(table.put)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=every)
+        .start()
+    )
+
+
 def drain_complete(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Process everything available, replacing the small result with each micro-batch."""
     query = (
