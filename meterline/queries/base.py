@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from meterline.plans.marts import dim_zones, fct_trips
 from meterline.plans.staging import raw_columns, stage_trips
+from meterline.session import pin_settings
 from meterline.sources.sample import raw_trips, raw_zones
 
 
@@ -40,7 +41,7 @@ def present(df: DataFrame) -> DataFrame:
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        REGISTRY[name] = Query(lambda spark, sf_dir: present(fn(spark, sf_dir)), sql)
+        REGISTRY[name] = Query(lambda spark, sf_dir: present(fn(pin_settings(spark), sf_dir)), sql)
         return fn
 
     return register

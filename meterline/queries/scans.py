@@ -11,7 +11,7 @@ from meterline.functions.names import normalize_columns, snake_columns
 from meterline.queries.base import GREEN, RAW, ZONES, query
 from meterline.schemas import DOUBLE, INT, LONG, TEXT, struct
 from meterline.schemas import ZONES as ZONE_SCHEMA
-from meterline.session import pin_settings, run_dir
+from meterline.session import run_dir
 from meterline.sinks.tables import rebalanced, spread_small_writes
 from meterline.sources import catalog, files, messages, pages
 from meterline.sources.sample import raw_trips, raw_zones, table
@@ -20,7 +20,7 @@ from meterline.streaming.jobs import replay_messages
 
 @query("scan_parquet", "SELECT * FROM supplier")
 def scan_parquet(spark, sf_dir):
-    return files.read_parquet(pin_settings(spark), f"{sf_dir}/supplier.parquet")
+    return files.read_parquet(spark, f"{sf_dir}/supplier.parquet")
 
 
 def land_monthly(spark, sf_dir, service: str, prefix: str) -> str:
@@ -91,7 +91,7 @@ def scan_pruned(spark, sf_dir):
 )
 def external_table_profile(spark, sf_dir):
     name = f"external_{uuid.uuid4().hex}"
-    rows = files.external_table(pin_settings(spark), name, f"{sf_dir}/lineitem.parquet")
+    rows = files.external_table(spark, name, f"{sf_dir}/lineitem.parquet")
     return rows.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.min("l_shipdate").alias("earliest_trip"),
@@ -121,7 +121,6 @@ COLUMN_COUNTS = {"customer": 5, "orders": 6, "lineitem": 11, "events": 6}
     ),
 )
 def table_sizes(spark, sf_dir):
-    pin_settings(spark)
     sizes = catalog.table_sizes({t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in COLUMN_COUNTS})
     return sizes.select("table_name", "row_count", "column_count", (F.col("size_bytes") > 0).alias("has_bytes"))
 

@@ -12,7 +12,7 @@ from meterline.operators.ranking import top_n
 from meterline.operators.windows import batch_hop, batch_sessions
 from meterline.queries.base import query
 from meterline.queries.scans import ride_messages
-from meterline.session import pin_settings, run_dir, streaming_session
+from meterline.session import run_dir, streaming_session
 from meterline.sources import messages
 from meterline.sources.sample import ride_events
 from meterline.streaming import jobs
@@ -41,7 +41,7 @@ def event_stream(spark, path: str):
 
 def _job(spark, sf_dir, label: str, transform, delay: str = "5 seconds"):
     """Run one append-mode job over the whole event table and return what it stored."""
-    side = streaming_session(pin_settings(spark))
+    side = streaming_session(spark)
     root = run_dir(spark, label)
     events = with_event_time(event_stream(side, f"{sf_dir}/events.parquet"), delay=delay)
     drain(transform(events), f"{root}/out", f"{root}/checkpoint")
@@ -68,7 +68,7 @@ def _tumble_sql(width: str, measures: str, key: str = LOCATION, closed: bool = T
     date_trunc('milliseconds', ts) AS pickup_datetime FROM events""",
 )
 def stream_pass_through(spark, sf_dir):
-    side, root = streaming_session(pin_settings(spark)), run_dir(spark, "pass_through")
+    side, root = streaming_session(spark), run_dir(spark, "pass_through")
     ride_messages(spark, sf_dir).write.text(f"{root}/in")
     rides = messages.decode_rides(messages.text_stream(side, f"{root}/in"))
     drain(jobs.pass_through(rides), f"{root}/out", f"{root}/checkpoint")
@@ -76,7 +76,7 @@ def stream_pass_through(spark, sf_dir):
 
 
 def _hourly_upserts(spark, sf_dir):
-    side, root = streaming_session(pin_settings(spark)), run_dir(spark, "hourly")
+    side, root = streaming_session(spark), run_dir(spark, "hourly")
     stored = UpsertTable(f"{root}/out", ("window_start", "PULocationID"))
     events = with_event_time(event_stream(side, f"{sf_dir}/events.parquet"))
     drain_upsert(jobs.location_revenue(events), stored, f"{root}/checkpoint")
@@ -143,7 +143,7 @@ def stream_hop(spark, sf_dir):
 
 @query("stream_filter_count", "SELECT COUNT(*) AS trip_count FROM events WHERE value > 5.0")
 def stream_filter_count(spark, sf_dir):
-    side, root = streaming_session(pin_settings(spark)), run_dir(spark, "longer")
+    side, root = streaming_session(spark), run_dir(spark, "longer")
     drain_complete(
         jobs.count_longer(event_stream(side, f"{sf_dir}/events.parquet")), f"{root}/out", f"{root}/checkpoint"
     )
@@ -152,7 +152,7 @@ def stream_filter_count(spark, sf_dir):
 
 def _in_two_steps(spark, sf_dir, label: str, run_step):
     """Land all events but the errors, run the job, land the errors, run it again from its checkpoint."""
-    side, root = streaming_session(pin_settings(spark)), run_dir(spark, label)
+    side, root = streaming_session(spark), run_dir(spark, label)
     events = side.read.parquet(f"{sf_dir}/events.parquet")
     late = F.col("event_type") == "error"
     for step in (events.where(~late), events.where(late)):

@@ -9,12 +9,12 @@ below its size threshold and AQE splits skewed keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.session import pin_settings
-
 SERVICES = {"green": ("F", "lpep"), "yellow": ("O", "tpep")}
 
 
@@ -23,18 +23,13 @@ _SCHEMAS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One sample table, zone-less timestamps turned into UTC timestamps."""
+    """One sample table, zone-less timestamps turned into timestamps of the session zone (UTC)."""
     path = f"{sf_dir}/{name}.parquet"
-    pin_settings(spark)
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
     df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    return df.select(
-        *[
-            F.col(n).cast("timestamp").alias(n) if kind == "timestamp_ntz" else F.col(n)
-            for n, kind in df.dtypes
-        ]
-    )
+    zoneless = [f.name for f in _SCHEMAS[path].fields if isinstance(f.dataType, T.TimestampNTZType)]
+    return df.withColumns({n: F.col(n).cast("timestamp") for n in zoneless}) if zoneless else df
 
 
 def _minutes_after(day: str, key: str):
@@ -57,28 +52,28 @@ def _total():
     return F.floor((charged + 5000) / 10000) / 100.0
 
 
-def _raw_columns(prefix: str) -> dict[str, object]:
+def _raw_columns(prefix: str) -> dict[str, Callable[[], Column]]:
     return {
-        "VendorID": (1 + F.col("l_suppkey") % 2).cast("int"),
-        f"{prefix}_pickup_datetime": _minutes_after("o_orderdate", "l_partkey"),
-        f"{prefix}_dropoff_datetime": _minutes_after("l_shipdate", "l_suppkey"),
-        "store_and_fwd_flag": F.when(F.col("l_returnflag") == "R", "Y").when(F.col("l_returnflag") == "A", "N"),
-        "RatecodeID": (1 + F.col("l_partkey") % 7).cast("int"),
-        "PULocationID": F.col("c_nationkey"),
-        "DOLocationID": F.col("s_nationkey"),
-        "passenger_count": F.nullif(F.col("l_linenumber") - 1, F.lit(6)).cast("double"),
-        "trip_distance": F.col("l_quantity"),
-        "fare_amount": F.col("l_extendedprice"),
-        "extra": F.col("l_discount"),
-        "mta_tax": F.lit(0.5),
-        "tip_amount": _tip(),
-        "tolls_amount": F.col("l_tax"),
-        "ehail_fee": F.lit(None).cast("double"),
-        "improvement_surcharge": F.lit(0.3),
-        "total_amount": _total(),
-        "congestion_surcharge": F.when(F.col("l_linestatus") == "O", 2.5),
-        "payment_type": F.col("l_linenumber"),
-        "trip_type": F.when(F.col("l_returnflag") == "N", 2).otherwise(1),
+        "VendorID": lambda: (1 + F.col("l_suppkey") % 2).cast("int"),
+        f"{prefix}_pickup_datetime": lambda: _minutes_after("o_orderdate", "l_partkey"),
+        f"{prefix}_dropoff_datetime": lambda: _minutes_after("l_shipdate", "l_suppkey"),
+        "store_and_fwd_flag": lambda: F.when(F.col("l_returnflag") == "R", "Y").when(F.col("l_returnflag") == "A", "N"),
+        "RatecodeID": lambda: (1 + F.col("l_partkey") % 7).cast("int"),
+        "PULocationID": lambda: F.col("c_nationkey"),
+        "DOLocationID": lambda: F.col("s_nationkey"),
+        "passenger_count": lambda: F.nullif(F.col("l_linenumber") - 1, F.lit(6)).cast("double"),
+        "trip_distance": lambda: F.col("l_quantity"),
+        "fare_amount": lambda: F.col("l_extendedprice"),
+        "extra": lambda: F.col("l_discount"),
+        "mta_tax": lambda: F.lit(0.5),
+        "tip_amount": _tip,
+        "tolls_amount": lambda: F.col("l_tax"),
+        "ehail_fee": lambda: F.lit(None).cast("double"),
+        "improvement_surcharge": lambda: F.lit(0.3),
+        "total_amount": _total,
+        "congestion_surcharge": lambda: F.when(F.col("l_linestatus") == "O", 2.5),
+        "payment_type": lambda: F.col("l_linenumber"),
+        "trip_type": lambda: F.when(F.col("l_returnflag") == "N", 2).otherwise(1),
     }
 
 
@@ -112,14 +107,14 @@ def raw_trips(
         lines = lines.where(F.col("l_linestatus") == status)
     available = _raw_columns(prefix)
     if service is None:
-        available["service_type"] = F.when(F.col("l_linestatus") == "F", "Green").otherwise("Yellow")
+        available["service_type"] = lambda: F.when(F.col("l_linestatus") == "F", "Green").otherwise("Yellow")
     if service == "yellow":
         available.pop("ehail_fee")
         available.pop("trip_type")
     names = list(available) if columns is None else columns
     wanted = {"pickup" if n.endswith("_pickup_datetime") else n for n in names}
     joined = _joined(spark, sf_dir, lines, wanted)
-    return joined.select(*[available[n].alias(n) for n in names])
+    return joined.select(*[available[n]().alias(n) for n in names])
 
 
 def raw_fhv(spark: SparkSession, sf_dir: str) -> DataFrame:
