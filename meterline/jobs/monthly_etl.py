@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from meterline.functions.timeparts import month_range
 from meterline.operators.quality import partition_validation
@@ -28,8 +28,12 @@ def load_months(
     A backfill is the same call with more months: one Spark job over all files, not a loop.
     Rows carry the month of their file, so a stray pickup stays in the partition of its file.
     """
-    trips = drop_missing_pickup(read_month_csv(spark, source, service, months), service)
+    seen = Observation()
+    trips = drop_missing_pickup(read_month_csv(spark, source, service, months), service, seen)
     counts = reload_partitions(trips, target, months)
+    dropped = seen.get["dropped"]
+    if dropped:
+        log.warning("%s: dropped %s rows without a pickup time", service, dropped)
     log.info("%s: %s rows in %s months", service, sum(counts.values()), len(counts))
     return counts
 

@@ -72,7 +72,7 @@ def exact_percentiles(
         "value_max": F.max("_value"),
         **{name: F.sum(F.get("_m", F.lit(i))).cast("double") for i, name in enumerate(extra, 1)},
     }
-    summary = F.concat(F.percentile_approx("_value", POINTS, 10000), F.array(*facts.values())).alias("_facts")
+    summary = F.concat(F.percentile_approx("_value", POINTS, 1000), F.array(*facts.values())).alias("_facts")
     if keys:
         placed = join_null_safe(counted, counted.groupBy(*keys).agg(summary), keys)
     else:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterline.functions.numbers import rounded
@@ -124,16 +123,16 @@ def date_parts(spark, sf_dir):
 
 @query(
     "duration_minutes",
-    """WITH gaps AS (SELECT user_id, ts AS start_ts, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS end_ts FROM events)
-    SELECT user_id, CAST(SUM(date_diff('minute', start_ts, end_ts)) AS BIGINT) AS boundary_minutes,
+    """WITH spans AS (SELECT event_type, ts AS start_ts, ts + to_microseconds(CAST(floor(value * 1000000) AS BIGINT)) AS end_ts FROM events)
+    SELECT event_type, CAST(SUM(date_diff('minute', start_ts, end_ts)) AS BIGINT) AS boundary_minutes,
     CAST(SUM(floor((epoch_us(end_ts) - epoch_us(start_ts)) / 60000000)) AS BIGINT) AS elapsed_minutes
-    FROM gaps WHERE end_ts IS NOT NULL GROUP BY user_id""",
+    FROM spans GROUP BY event_type""",
 )
 def duration_minutes(spark, sf_dir):
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id")
-    gaps = events.withColumn("end_ts", F.lead("ts").over(order)).where(F.col("end_ts").isNotNull())
-    return gaps.groupBy("user_id").agg(
+    """Events as spans of ``value`` seconds."""
+    end = F.timestamp_micros(F.unix_micros("ts") + F.floor(F.col("value") * 1000000))
+    spans = table(spark, sf_dir, "events").select("event_type", "ts", end.alias("end_ts"))
+    return spans.groupBy("event_type").agg(
         F.sum(boundary_minutes("ts", "end_ts")).alias("boundary_minutes"),
         F.sum(elapsed_minutes("ts", "end_ts")).alias("elapsed_minutes"),
     )

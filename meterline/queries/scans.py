@@ -254,8 +254,8 @@ def _books(spark, sf_dir):
         ).alias("doc"),
     )
     found = parts.agg(F.count(F.lit(1)).alias("n")).scalar()
-    responses = docs.groupBy("page").agg(F.collect_list("doc").alias("docs"))
-    responses.select("page", F.struct(found.alias("numFound"), "docs").alias("body")).write.json(path)
+    responses = docs.select("page", F.struct(found.alias("numFound"), F.array("doc").alias("docs")).alias("body"))
+    responses.write.json(path)
     return pages.read_offset_pages(spark, path, BOOK_RECORD, 100)
 
 

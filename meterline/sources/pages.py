@@ -1,7 +1,8 @@
 """Paged JSON resources, read from landed responses.
 
-A landing file holds one response per line: ``{"page": n, "body": ...}``. Lines are split over
-tasks like any JSON-lines file, so there is no file per page and no single reader walking pages.
+A landing file holds one response, or a part of one, per line: ``{"page": n, "body": ...}``. Lines
+are split over tasks like any JSON-lines file, so there is no file per page, no single reader
+walking the pages and no limit on what a page may hold.
 """
 
 from __future__ import annotations
@@ -59,10 +60,13 @@ def split_child_tables(df: DataFrame, key: str) -> tuple[DataFrame, dict[str, Da
 
 
 def land_pages(records: DataFrame, page: str, path: str) -> None:
-    """Write records as numbered page responses plus the empty page that ends them."""
+    """Write records as page responses plus the empty page that ends them.
+
+    Each record is a line of its own under its page number; nothing is gathered per page.
+    """
     body = [c for c in records.columns if c != page]
-    grouped = records.groupBy(F.col(page).alias("page")).agg(F.collect_list(F.struct(*body)).alias("body"))
-    last = grouped.agg((F.max("page") + 1).alias("page")).select(
-        "page", F.array().cast(grouped.schema["body"].dataType).alias("body")
+    lines = records.select(F.col(page).alias("page"), F.array(F.struct(*body)).alias("body"))
+    end = records.agg((F.max(page) + 1).alias("page")).select(
+        "page", F.array().cast(lines.schema["body"].dataType).alias("body")
     )
-    grouped.unionByName(last).write.option("ignoreNullFields", "false").json(path)
+    lines.unionByName(end).write.option("ignoreNullFields", "false").json(path)

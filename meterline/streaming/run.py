@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.sinks.tables import write_jdbc
+
 WATERMARK = "5 seconds"
 
 
@@ -40,6 +42,17 @@ def start(stream: DataFrame, path: str, checkpoint: str, every: str = "10 second
     )
 
 
+def start_jdbc(stream: DataFrame, url: str, name: str, checkpoint: str, every: str = "10 seconds"):
+    """Append micro-batches to a database table. A batch retried after a failure is inserted again."""
+    return (
+        stream.writeStream.outputMode("append")
+        .foreachBatch(lambda batch, _: write_jdbc(batch, url, name))
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=every)
+        .start()
+    )
+
+
 @dataclass(frozen=True)
 class UpsertTable:
     """Keyed table fed by micro-batches.

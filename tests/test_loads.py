@@ -1,17 +1,17 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
 from meterline.jobs import batch_report, ingest, monthly_etl
 from meterline.plans.marts import dim_zones
-from meterline.schemas import GREEN_RAW, YELLOW_RAW, ZONES
+from meterline.schemas import DOUBLE, GREEN_RAW, INT, LONG, TEXT, YELLOW_RAW, ZONES, struct
 from meterline.sinks import tables
 from meterline.sources import catalog, files, pages
 from meterline.sources.messages import kafka_options
-from meterline.schemas import DOUBLE, INT, LONG, TEXT, struct
-from pyspark.sql import types as T
 
 
 def numbers(spark, *pairs):
@@ -156,20 +156,25 @@ def test_monthly_etl(spark, tmp_path):
     assert (check.row_count, check.stray_rows, check.earliest_pickup) == (2, 1, datetime(2019, 12, 31, 23, 59))
 
 
+def test_rows_are_counted_on_the_way(spark, tmp_path):
+    seen = Observation()
+    files.counted(numbers(spark, (1, 1), (2, 2)), seen).write.parquet(str(tmp_path / "t"))
+    assert seen.get["rows"] == 2
+
+
 def test_append_months(spark, tmp_path):
-    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    source.mkdir()
     base = files.conform(spark.range(2).select(F.col("id").alias("VendorID")), GREEN_RAW)
     base = base.withColumn("lpep_pickup_datetime", F.lit(datetime(2020, 1, 2)))
-    base.write.parquet(f"{source}/green_tripdata_2020-01.parquet")
-    whole = base.withColumn("ehail_fee", F.lit(1).cast("bigint"))
-    whole.write.parquet(f"{source}/green_tripdata_2020-02.parquet")
-    for folder in ("2020-01", "2020-02"):
-        spark.read.parquet(f"{source}/green_tripdata_{folder}.parquet").coalesce(1).write.parquet(f"{tmp_path}/x-{folder}")
-    paths = [f"{tmp_path}/x-{folder}" for folder in ("2020-01", "2020-02")]
-    assert files.read_drifting(spark, paths, GREEN_RAW).agg(F.sum("ehail_fee")).first()[0] == 2.0
-    assert len(files.list_files(spark, str(tmp_path / "in"), "part-*.parquet")) >= 2
-    tables.append_evolving(files.read_drifting(spark, paths, GREEN_RAW), target, GREEN_RAW, "lpep_pickup_datetime", ["VendorID"])
-    assert spark.read.parquet(target).count() == 4
+    for month, fee in (("2020-01", F.lit(0.5)), ("2020-02", F.lit(1).cast("bigint"))):
+        base.withColumn("ehail_fee", fee).coalesce(1).write.parquet(str(tmp_path / month))
+        part = next((tmp_path / month).glob("part-*.parquet"))
+        (source / f"green_tripdata_{month}.parquet").write_bytes(part.read_bytes())
+    monthly_etl.append_months(spark, str(source), target, "green")
+    stored = spark.read.parquet(target)
+    assert stored.count() == 4 and dict(stored.dtypes)["ehail_fee"] == "double"
+    assert stored.agg(F.sum("ehail_fee")).first()[0] == 3.0
 
 
 def test_ingest(spark, tmp_path):
