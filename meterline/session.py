@@ -54,22 +54,25 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in ``spark.checkpoint.dir``.
 
     Where the setting is absent a local folder is made, which is only right in local mode.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="meterline-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if context.applicationId not in _LOCAL_ROOTS:
+        root = tempfile.mkdtemp(prefix="meterline-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
+        _LOCAL_ROOTS[context.applicationId] = root
+    return _LOCAL_ROOTS[context.applicationId]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
