@@ -29,8 +29,10 @@ def rounded(c: Column | str, digits: int) -> Column:
     """
     value = (F.col(c) if isinstance(c, str) else c).cast("double")
     scaled = value * F.lit(10.0**digits)
-    whole = F.signum(scaled) * F.floor(F.abs(scaled) + 0.5) / F.lit(10.0**digits)
-    return F.when(F.abs(scaled) < F.lit(2.0**52), whole).otherwise(value)
+    size = F.abs(scaled)
+    # Adding a half before the floor would carry 0.49999999999999994 up to one; the rest is exact.
+    whole = F.floor(size) + F.when(size - F.floor(size) >= 0.5, 1).otherwise(0)
+    return F.when(size < F.lit(2.0**52), F.signum(scaled) * whole / F.lit(10.0**digits)).otherwise(value)
 
 
 def to_money(c: Column | str) -> Column:

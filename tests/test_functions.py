@@ -60,12 +60,13 @@ def test_to_int_rounds_half_even(spark):
 
 
 def test_rounded(spark):
-    values = [2.675, 1.005, -0.125, 0.125, 1e17, 0.0]
+    values = [2.675, 1.005, -0.125, 0.125, 1e17, 0.0, 0.0049999999999999994, -0.005]
     got = one(spark, *[rounded(F.lit(v), 2) for v in values])
 
     def half_away(x):
         y = x * 100
-        return x if abs(y) >= 2**52 else math.copysign(math.floor(abs(y) + 0.5), y) / 100
+        whole = math.floor(abs(y)) + (abs(y) - math.floor(abs(y)) >= 0.5)
+        return x if abs(y) >= 2**52 else math.copysign(whole, y) / 100
 
     assert got == tuple(half_away(v) for v in values)
     assert math.isnan(one(spark, rounded(F.lit(float("nan")), 2))[0])
