@@ -12,7 +12,11 @@ from meterline.llm.bpe import encode_documents
 from meterline.llm.chat import format_conversations, read_back
 from meterline.llm.common import table
 from meterline.llm.exact_dedup import exact_dedup
+from meterline.llm.fingerprints import fingerprint_report
 from meterline.llm.language import identify
+from meterline.llm.mixing import mix, taken_words
+from meterline.llm.quality import quality_report
+from meterline.llm.secret_scan import secret_report
 from meterline.llm.simhash import simhash_classes
 from meterline.session import pin_settings
 
@@ -104,3 +108,23 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("learned").cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+
+@register("op1_mix_sources")
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return taken_words(mix(table(spark, sf_dir, "documents")))
+
+
+@register("op4_minhash_fingerprints")
+def op4_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_report(table(spark, sf_dir, "documents"))
+
+
+@register("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
+@register("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -102,15 +102,14 @@ def _signed(mask: int) -> int:
 def _below(rows: DataFrame, masks: list[int], max_bits: int) -> tuple[DataFrame, list[int]]:
     """Put each row (``fp, mask``) below each submask of its mask."""
     below = {m: submasks(m, max_bits) for m in masks}
-    spark = rows.sparkSession
-    pairs = spark.createDataFrame([(_signed(m), _signed(s)) for m, subs in below.items() for s in subs], "mask long, sub long")
-    placed = rows.join(F.broadcast(pairs), "mask").select("fp", F.col("sub").alias("mask"))
+    cells = [F.lit(x) if isinstance(x, int) else F.array(*map(F.lit, x)) for m, subs in below.items() for x in (_signed(m), [*map(_signed, subs)])]
+    placed = rows.select("fp", F.explode(F.element_at(F.create_map(*cells), F.col("mask"))).alias("mask"))
     return placed, sorted({s for subs in below.values() for s in subs})
 
 
 def nodes(distinct: DataFrame, max_bits: int = MAX_BITS, node_rows: int = NODE_ROWS) -> list[DataFrame]:
     """Rows ``fp, mask`` of the nodes that hold 2 to ``node_rows`` fingerprints, one table per level."""
-    rows, masks, levels = distinct.select("fp", F.lit(0).cast("bigint").alias("mask")), [0], []
+    rows, masks, levels = distinct.select("fp", F.lit(0).alias("mask")), [0], []
     while True:
         placed, masks = _below(rows, masks, max_bits)
         placed = placed.withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
