@@ -14,6 +14,7 @@ from meterline.llm.common import table
 from meterline.llm.exact_dedup import exact_dedup
 from meterline.llm.fingerprints import fingerprint_report
 from meterline.llm.language import identify
+from meterline.llm.licenses import license_scan
 from meterline.llm.mixing import mix, taken_words
 from meterline.llm.quality import quality_report
 from meterline.llm.secret_scan import secret_report
@@ -128,3 +129,22 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_quality_classifier")
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def repository_path():
+    """Documents have no path: each source is laid out as a tree, every 50th document as the LICENSE of its directory."""
+    doc_id = F.col("doc_id")
+    part = lambda size: F.floor(doc_id / size).cast("string")
+    upper = F.concat_ws("/", "source", F.concat(F.lit("a"), part(1000)))
+    lower = F.concat_ws("/", upper, F.concat(F.lit("b"), part(50)))
+    name = F.when(doc_id % 50 == 0, F.lit("LICENSE")).otherwise(F.concat(doc_id.cast("string"), F.lit(".txt")))
+    return F.when(doc_id.isNotNull(), F.concat_ws("/", F.when(doc_id % 1000 == 0, upper).otherwise(lower), name))
+
+
+@register("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"), repository_path())
+    spans = F.transform("notices", lambda n: F.concat_ws(":", n["license"], n["start"].cast("string"), n["end"].cast("string")))
+    return found.select(
+        "doc_id", "path", F.array_join(spans, ",").alias("notices"), "own_license", "cosine", "inherited_license", "inherited_from", "license"
+    )
