@@ -46,13 +46,10 @@ def with_row_key(df: DataFrame) -> DataFrame:
     """
     plan = df._jdf.queryExecution().analyzed().toString()
     nodes = {m[1] for line in plan.splitlines() if (m := re.match(r"[\s:+-]*([A-Za-z]+)", line))}
-    if not nodes <= _ROW_WISE or "_metadata" in df.columns or "Relation" not in nodes:
+    if not nodes <= _ROW_WISE or "Relation" not in nodes:
         df = stored(df, "rows")
-    return df.select(
-        "*",
-        F.xxhash64(F.col("_metadata.file_path")).alias(FILE),
-        F.col("_metadata.row_index").alias(POS),
-    )
+    place = df.metadataColumn("_metadata")
+    return df.select("*", F.xxhash64(place["file_path"]).alias(FILE), place["row_index"].alias(POS))
 
 
 def whole_text(name: str = "text") -> Column:

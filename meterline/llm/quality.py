@@ -14,10 +14,11 @@ scan. Every other gram goes through the sharded joins: (document, gram, count) r
 against the count tables, backing off where a gram or a context is unknown, and summed up per document. Nothing is
 dropped or approximated: the result is the same for any ``FREQUENT``, also for 0.
 
-Thresholds. The log perplexity of n grams scatters like 1 / sqrt(n) around its language's level, so the score of a document is its
-distance from the median of the trusted documents of its language, times sqrt(n). A language's limits are the ``QUANTILES`` of the
-scores of its trusted documents, ``SLACK`` times further out; a document outside is rejected. Languages with fewer than
-``LEAST`` trusted documents use median and limits of all.
+Thresholds. Half of the trusted documents, by a hash of the doc_id, train the model; the other half, which it has not seen,
+sets the limits. The log perplexity of n grams scatters around its language's level like ``sqrt(1 / n + 1 / SPREAD)``; a document's score
+is its distance from the level in these units. The level is the median of the language's limit-setting documents (of all its documents
+where these are fewer than ``LEAST``), the limits are their ``QUANTILES`` (of all languages' scores where they are fewer than
+``LEAST_TAIL``), ``SLACK`` times further out. A document outside is rejected.
 
 Trusted is what ``labels`` calls good and not toxic. Defined cases. A document without ``ORDER`` characters has no
 perplexity and is kept, as is everything when nothing is trusted. Null text counts as empty; a null lang is a language of its
@@ -42,9 +43,11 @@ ORDER = 4
 FREQUENT = 1 << 17
 SLICE = 1 << 20
 HELD_GRAMS = 1 << 20
-QUANTILES = (0.005, 0.995)
-SLACK = 0.5
+QUANTILES = (0.01, 0.99)
+SLACK = 1.0
+SPREAD = 5000.0
 LEAST = 30
+LEAST_TAIL = 500
 ACCURACY = 100_000
 KEYS_BROADCAST = 1 << 21
 
@@ -257,38 +260,53 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return marked.agg(F.min(F.coalesce(good, F.lit(False))).alias("good")).where("good").select("__id")
 
 
+def _trains() -> Column:
+    return F.pmod(F.xxhash64(F.lit("train"), "__id"), F.lit(2)) == 0
+
+
 def scored(keyed: DataFrame, labels: DataFrame, frequent: int = FREQUENT) -> DataFrame:
-    """Row key, doc_id, lang, ``trusted`` and ``log_perplexity`` of every document; stored."""
+    """Row key, doc_id, lang, ``trusted`` (sets the limits), ``n`` and ``log_perplexity`` of every document; stored."""
     ids = stored(trusted_ids(labels), "trusted")
     side = F.broadcast(ids) if ids.count() <= KEYS_BROADCAST else ids
     texts = keyed.select(named("doc_id").cast("bigint").alias("__id"), whole_text().alias("text"))
-    model = fit(texts.join(side, "__id", "left_semi").select("text"))
+    model = fit(texts.where(_trains()).join(side, "__id", "left_semi").select("text"))
     facts = keyed.select(*ROW, named("doc_id").cast("bigint").alias("__id"), named("lang").cast("string").alias("lang"))
     facts = facts.join(ids.withColumn("trusted", F.lit(True)), "__id", "left")
-    facts = facts.select(*ROW, F.col("__id").alias("doc_id"), "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    sets = F.coalesce("trusted", F.lit(False)) & ~_trains()
+    facts = facts.select(*ROW, F.col("__id").alias("doc_id"), "lang", F.coalesce(sets, F.lit(False)).alias("trusted"))
     if model.empty:
         return stored(facts.withColumn("n", F.lit(0).cast("bigint")).withColumn("log_perplexity", F.lit(None).cast("double")), "perplexities")
     return stored(facts.join(perplexities(keyed, model, frequent), ROW), "perplexities")
 
 
-def _by_language(rows: DataFrame, good: DataFrame, value: str, quantiles: list[float], least: int) -> DataFrame:
-    """Add ``cut``: quantiles of ``value`` over the trusted rows of the row's language, or of all where these are few."""
-    cut = F.percentile_approx(value, quantiles, ACCURACY).alias("cut")
-    everywhere = good.agg(cut).first()["cut"]  # one row of a few numbers
-    own = good.groupBy("lang").agg(F.count(F.lit(1)).alias("support"), cut).where(F.col("support") >= least)
-    name = F.coalesce("lang", F.lit("\0"))
-    joined = rows.withColumn("__lang", name).join(own.select(name.alias("__lang"), "cut"), "__lang", "left").drop("__lang")
-    fallback = F.lit(None) if everywhere is None else F.array(*[F.lit(x) for x in everywhere])
-    return joined.withColumn("cut", F.coalesce("cut", fallback.cast("array<double>")))
+def _level(rows: DataFrame, least: int) -> DataFrame:
+    """Add ``score``: the distance from the language's level in units of the expected scatter."""
+    middle = lambda of: F.percentile_approx(of, 0.5, ACCURACY)
+    own = F.when(F.col("trusted"), F.col("log_perplexity"))
+    levels = rows.groupBy("lang").agg(F.count(own).alias("support"), middle(own).alias("own"), middle(F.col("log_perplexity")).alias("all"))
+    level = F.when(F.col("support") >= least, F.col("own")).otherwise(F.col("all"))
+    scatter = F.sqrt(1 / F.greatest(F.col("n"), F.lit(1)) + 1 / SPREAD)
+    joined = _with_language(rows, levels.select("lang", level.alias("level")))
+    return joined.withColumn("score", (F.col("log_perplexity") - F.col("level")) / scatter).drop("level")
 
 
-def judged(rows: DataFrame, quantiles=QUANTILES, slack: float = SLACK, least: int = LEAST) -> DataFrame:
+def _with_language(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """Join facts by language, null being one."""
+    name = F.coalesce("lang", F.lit("\0")).alias("__lang")
+    return rows.select("*", name).join(facts.select(name, *[c for c in facts.columns if c != "lang"]), "__lang", "left").drop("__lang")
+
+
+def judged(
+    rows: DataFrame, quantiles=QUANTILES, slack: float = SLACK, least: int = LEAST, least_tail: int = LEAST_TAIL
+) -> DataFrame:
     """Add ``score``, ``lowest`` and ``highest`` (limits of the score in the row's language) and ``kept``; stored."""
-    trusted = F.col("trusted") & F.col("log_perplexity").isNotNull()
-    level = _by_language(rows, rows.where(trusted), "log_perplexity", [0.5], least)
-    score = (F.col("log_perplexity") - F.col("cut")[0]) * F.sqrt(F.col("n").cast("double"))
-    level = stored(level.withColumn("score", score).drop("cut"), "scores")
-    limits = _by_language(level, level.where(trusted), "score", list(quantiles), least)
+    scores = stored(_level(rows, least), "scores")
+    sets = scores.where(F.col("trusted") & F.col("score").isNotNull())
+    cut = F.percentile_approx("score", list(quantiles), ACCURACY).alias("cut")
+    everywhere = sets.agg(cut).first()["cut"]  # one row of two numbers
+    fallback = F.lit(None) if everywhere is None else F.array(*[F.lit(x) for x in everywhere])
+    own = sets.groupBy("lang").agg(F.count(F.lit(1)).alias("support"), cut).where(F.col("support") >= least_tail).drop("support")
+    limits = _with_language(scores, own).withColumn("cut", F.coalesce("cut", fallback.cast("array<double>")))
     low, high = F.col("cut")[0], F.col("cut")[1]
     limits = limits.withColumn("lowest", low - slack * F.abs(low)).withColumn("highest", high + slack * F.abs(high))
     inside = F.col("score").between(F.col("lowest"), F.col("highest"))

@@ -99,26 +99,23 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _below(rows: DataFrame, masks: list[int], max_bits: int) -> tuple[DataFrame, list[int]]:
+def _below(rows: DataFrame, masks: list[int], max_bits: int) -> DataFrame:
     """Put each row (``fp, mask``) below each submask of its mask."""
-    below = {m: submasks(m, max_bits) for m in masks}
-    cells = [F.lit(x) if isinstance(x, int) else F.array(*map(F.lit, x)) for m, subs in below.items() for x in (_signed(m), [*map(_signed, subs)])]
-    placed = rows.select("fp", F.explode(F.element_at(F.create_map(*cells), F.col("mask"))).alias("mask"))
-    return placed, sorted({s for subs in below.values() for s in subs})
+    cells = [F.lit(x) if isinstance(x, int) else F.array(*x) for m in masks for x in (_signed(m), [F.lit(_signed(s)) for s in submasks(m, max_bits)])]
+    return rows.select("fp", F.explode(F.element_at(F.create_map(*cells), F.col("mask"))).alias("mask"))
 
 
 def nodes(distinct: DataFrame, max_bits: int = MAX_BITS, node_rows: int = NODE_ROWS) -> list[DataFrame]:
     """Rows ``fp, mask`` of the nodes that hold 2 to ``node_rows`` fingerprints, one table per level."""
-    rows, masks, levels = distinct.select("fp", F.lit(0).alias("mask")), [0], []
-    while True:
-        placed, masks = _below(rows, masks, max_bits)
-        placed = placed.withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
+    rows, masks, levels = distinct.select("fp", F.lit(0).cast("bigint").alias("mask")), [0], []
+    while masks:
+        placed = _below(rows, masks, max_bits).withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = placed.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         level = stored(placed.join(sizes, ["mask", "pattern"]).select("fp", "mask", (F.col("n") > node_rows).alias("cut")), "nodes")
         levels.append(level.where(~F.col("cut")).select("fp", "mask"))
         rows = level.where("cut").select("fp", "mask")
-        if rows.isEmpty():
-            return levels
+        masks = [r["mask"] % (1 << 64) for r in rows.select("mask").distinct().collect()]  # at most 3 per level of cutting, to its power
+    return levels
 
 
 # --- inside a node --------------------------------------------------------------------------------
