@@ -17,7 +17,7 @@ dropped or approximated: the result is the same for any ``FREQUENT``, also for 0
 Thresholds. Half of the trusted documents, by a hash of the doc_id, train the model; the other half, which it has not seen,
 sets the limits. The log perplexity of n grams scatters around its language's level like ``sqrt(1 / n + 1 / SPREAD)``; a document's score
 is its distance from the level in these units. The level is the median of the language's limit-setting documents (of all its documents
-where these are fewer than ``LEAST``), the limits are their ``QUANTILES`` (of all languages' scores where they are fewer than
+where these are fewer than ``LEAST``, of all languages where those are, too), the limits are their ``QUANTILES`` (of all languages' scores where they are fewer than
 ``LEAST_TAIL``), ``SLACK`` times further out. A document outside is rejected.
 
 Trusted is what ``labels`` calls good and not toxic. Defined cases. A document without ``ORDER`` characters has no
@@ -115,17 +115,19 @@ def _suffix(order: int) -> Column:
 
 def _context(order: int) -> Column:
     """The gram without its last symbol."""
-    shifted = F.shiftrightunsigned("gram", 16)
-    return shifted.bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1)) if order > 1 else F.lit(0).cast("bigint")
+    return F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1))
 
 
 @dataclass(frozen=True)
 class Model:
-    """Per order: ``seen[k]`` (gram, n, logp, ctx) and ``weights[k]`` (ctx, weight) of grams of k symbols; uniform probability."""
+    """``seen[k]`` (gram, n, logp) and, for k > 1, ``weights[k]`` (ctx, weight) of grams of k symbols.
+
+    ``unseen`` is the probability of a symbol that was never seen: the empty context's weight, uniformly.
+    """
 
     seen: dict[int, DataFrame]
     weights: dict[int, DataFrame]
-    uniform: float
+    unseen: float
     empty: bool
 
 
@@ -150,23 +152,25 @@ def fit(texts: DataFrame) -> Model:
     uniform = 1 / (symbols + 1)
     seen: dict[int, DataFrame] = {}
     weights: dict[int, DataFrame] = {}
+    unseen = uniform
     for order in range(1, ORDER + 1):
         few = counts[order].where("n <= 4").groupBy("n").agg(F.count(F.lit(1)).alias("c")).collect()
         d1, d2, d3 = discounts({r["n"]: r["c"] for r in few})
-        rows = counts[order].withColumn("ctx", _context(order))
         off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        sums = rows.groupBy("ctx").agg(F.sum("n").alias("all"), F.sum(off).alias("off"))
-        sums = stored(sums.select("ctx", "all", (F.col("off") / F.col("all")).alias("weight")), "contexts")
-        own = rows.join(sums, "ctx").withColumn("own", F.greatest(F.col("n") - off, F.lit(0.0)) / F.col("all"))
-        if order == 1:
-            lower = own.withColumn("lower", F.lit(uniform))
+        held = F.greatest(F.col("n") - off, F.lit(0.0))
+        if order == 1:  # one context, the empty one
+            total = counts[1].agg(F.sum("n").alias("all"), F.sum(off).alias("off")).first()
+            unseen = uniform * (total["off"] / total["all"] if symbols else 0.0)
+            rows = counts[1].withColumn("p", held / F.lit(float(total["all"] or 1)) + F.lit(unseen))
         else:
+            keyed = counts[order].select("gram", "n", _context(order).alias("ctx"), _suffix(order).alias("suffix"))
+            sums = keyed.groupBy("ctx").agg(F.sum("n").alias("all"), F.sum(off).alias("off"))
+            sums = stored(sums.select("ctx", "all", (F.col("off") / F.col("all")).alias("weight")), "contexts")
             below = seen[order - 1].select(F.col("gram").alias("suffix"), F.exp("logp").alias("lower"))
-            lower = own.withColumn("suffix", _suffix(order)).join(below, "suffix")
-        logp = F.log(F.greatest(F.col("own") + F.col("weight") * F.col("lower"), F.lit(1e-300)))
-        seen[order] = stored(lower.select("gram", "n", logp.alias("logp"), "ctx"), "probabilities")
-        weights[order] = sums.select("ctx", "weight")
-    return Model(seen, weights, uniform, symbols == 0)
+            rows = keyed.join(sums, "ctx").join(below, "suffix").withColumn("p", held / F.col("all") + F.col("weight") * F.col("lower"))
+            weights[order] = sums.select("ctx", "weight")
+        seen[order] = stored(rows.select("gram", "n", F.log(F.greatest("p", F.lit(1e-300))).alias("logp")), "probabilities")
+    return Model(seen, weights, unseen, symbols == 0)
 
 
 def resolve(wanted: DataFrame, model: Model) -> DataFrame:
@@ -174,18 +178,15 @@ def resolve(wanted: DataFrame, model: Model) -> DataFrame:
     rows = wanted.select("gram", F.col("gram").alias("__at"), F.lit(0.0).alias("__off"), F.lit(None).cast("double").alias("__logp"))
     for order in range(ORDER, 0, -1):
         found = model.seen[order].select(F.col("gram").alias("__at"), F.col("logp").alias("__found"))
-        rows = rows.join(found, "__at", "left")
-        at = rows.withColumnRenamed("gram", "__gram").withColumnRenamed("__at", "gram")
-        at = at.select("__gram", "gram", "__off", F.coalesce("__logp", F.col("__found") + F.col("__off")).alias("__logp"), _context(order).alias("ctx"))
-        at = at.join(model.weights[order], "ctx", "left")
-        # An unknown context passes all its mass on.
-        rows = at.select(
-            F.col("__gram").alias("gram"),
-            _suffix(order).alias("__at"),
-            (F.col("__off") + F.log(F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(1e-300)))).alias("__off"),
-            "__logp",
-        )
-    return rows.select("gram", F.coalesce("__logp", F.col("__off") + float(np.log(model.uniform))).alias("logp"))
+        rows = rows.join(found, "__at", "left").withColumn("__logp", F.coalesce("__logp", F.col("__found") + F.col("__off"))).drop("__found")
+        if order > 1:
+            at = rows.withColumnsRenamed({"gram": "__gram", "__at": "gram"}).withColumn("ctx", _context(order))
+            at = at.join(model.weights[order], "ctx", "left")
+            # An unknown context passes all its mass on.
+            passed = F.log(F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(1e-300)))
+            rows = at.select(F.col("__gram").alias("gram"), _suffix(order).alias("__at"), (F.col("__off") + passed).alias("__off"), "__logp")
+    unseen = float(np.log(max(model.unseen, 1e-300)))
+    return rows.select("gram", F.coalesce("__logp", F.col("__off") + unseen).alias("logp"))
 
 
 # --- perplexity -----------------------------------------------------------------------------------
@@ -283,8 +284,12 @@ def _level(rows: DataFrame, least: int) -> DataFrame:
     """Add ``score``: the distance from the language's level in units of the expected scatter."""
     middle = lambda of: F.percentile_approx(of, 0.5, ACCURACY)
     own = F.when(F.col("trusted"), F.col("log_perplexity"))
-    levels = rows.groupBy("lang").agg(F.count(own).alias("support"), middle(own).alias("own"), middle(F.col("log_perplexity")).alias("all"))
-    level = F.when(F.col("support") >= least, F.col("own")).otherwise(F.col("all"))
+    levels = rows.groupBy("lang").agg(
+        F.count(own).alias("support"), F.count("log_perplexity").alias("documents"), middle(own).alias("own"), middle(F.col("log_perplexity")).alias("all")
+    )
+    overall = rows.agg(middle(own).alias("level")).first()["level"]  # one number
+    level = F.when(F.col("support") >= least, F.col("own")).when(F.col("documents") >= least, F.col("all"))
+    level = level.otherwise(F.lit(overall).cast("double"))
     scatter = F.sqrt(1 / F.greatest(F.col("n"), F.lit(1)) + 1 / SPREAD)
     joined = _with_language(rows, levels.select("lang", level.alias("level")))
     return joined.withColumn("score", (F.col("log_perplexity") - F.col("level")) / scatter).drop("level")
