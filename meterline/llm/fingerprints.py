@@ -73,7 +73,7 @@ def densified() -> list[tuple[str, Column]]:
     def value(own: Column, i: Column) -> Column:
         step, shift, back = (F.get(F.col(c), i) for c in ("__step", "__shift", "__back"))
         tries = [F.get(F.col("__values"), (step * t + shift) % BINS) for t in range(1, TRIES + 1)]
-        least = F.array_min(F.transform("__filled", lambda j: F.struct((back * (j - shift + BINS) % BINS).alias("t"), j.alias("j"))))
+        least = F.array_min(F.transform("__filled", lambda j: F.struct(((back * (j - shift + BINS) + BINS - 1) % BINS).alias("t"), j.alias("j"))))
         # named twice, so that the planner computes the filled bins once per row and not once per use
         rest = F.when(F.size("__filled") > 0, F.get(F.col("__values"), least["j"]))
         return F.coalesce(own, *tries, rest)

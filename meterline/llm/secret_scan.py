@@ -55,7 +55,7 @@ ENCODINGS = [
     ("base64url", r"^[A-Za-z0-9_-]+=*$", UPPER + LOWER + NUMBERS + "-_"),
 ]
 REJECT = 0.01
-RATE = 0.001
+RATE = 0.01
 GRID = 20  # cells per power of ten of p
 DEEPEST = 300  # p-values below 10^-300 share a cell
 
