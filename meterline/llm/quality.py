@@ -14,8 +14,8 @@ scan. Every other gram goes through the sharded joins: (document, gram, count) r
 against the count tables, backing off where a gram or a context is unknown, and summed up per document. Nothing is
 dropped or approximated: the result is the same for any ``FREQUENT``, also for 0.
 
-Thresholds. Half of the trusted documents, by a hash of the doc_id, train the model; the other half, which it has not seen,
-sets the limits. The log perplexity of n grams scatters around its language's level like ``sqrt(1 / n + 1 / SPREAD)``; a document's score
+Thresholds. Half of the trusted texts, by their hash, train the model; the other half, which it has not seen, sets the limits, each
+text once however many copies there are. The log perplexity of n grams scatters around its language's level like ``sqrt(1 / n + 1 / SPREAD)``; a document's score
 is its distance from the level in these units. The level is the median of the language's limit-setting documents (of all its documents
 where these are fewer than ``LEAST``, of all languages where those are, too), the limits are their ``QUANTILES`` (of all languages' scores where they are fewer than
 ``LEAST_TAIL``), ``SLACK`` times further out. A document outside is rejected.
@@ -261,33 +261,44 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return marked.agg(F.min(F.coalesce(good, F.lit(False))).alias("good")).where("good").select("__id")
 
 
+def _copy() -> Column:
+    """Equal for equal texts."""
+    return F.xxhash64(whole_text()).alias("copy")
+
+
 def _trains() -> Column:
-    return F.pmod(F.xxhash64(F.lit("train"), "__id"), F.lit(2)) == 0
+    return F.pmod("copy", F.lit(2)) == 0
 
 
 def scored(keyed: DataFrame, labels: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """Row key, doc_id, lang, ``trusted`` (sets the limits), ``n`` and ``log_perplexity`` of every document; stored."""
     ids = stored(trusted_ids(labels), "trusted")
     side = F.broadcast(ids) if ids.count() <= KEYS_BROADCAST else ids
-    texts = keyed.select(named("doc_id").cast("bigint").alias("__id"), whole_text().alias("text"))
+    texts = keyed.select(named("doc_id").cast("bigint").alias("__id"), whole_text().alias("text"), _copy())
     model = fit(texts.where(_trains()).join(side, "__id", "left_semi").select("text"))
-    facts = keyed.select(*ROW, named("doc_id").cast("bigint").alias("__id"), named("lang").cast("string").alias("lang"))
+    facts = keyed.select(*ROW, named("doc_id").cast("bigint").alias("__id"), named("lang").cast("string").alias("lang"), _copy())
     facts = facts.join(ids.withColumn("trusted", F.lit(True)), "__id", "left")
     sets = F.coalesce("trusted", F.lit(False)) & ~_trains()
-    facts = facts.select(*ROW, F.col("__id").alias("doc_id"), "lang", F.coalesce(sets, F.lit(False)).alias("trusted"))
+    facts = facts.select(*ROW, F.col("__id").alias("doc_id"), "lang", "copy", F.coalesce(sets, F.lit(False)).alias("trusted"))
     if model.empty:
         return stored(facts.withColumn("n", F.lit(0).cast("bigint")).withColumn("log_perplexity", F.lit(None).cast("double")), "perplexities")
     return stored(facts.join(perplexities(keyed, model, frequent), ROW), "perplexities")
 
 
+def _each_text(rows: DataFrame, value: str) -> DataFrame:
+    """One row per language and text, so that copies don't outvote the rest; trusted if any copy is."""
+    return rows.groupBy("lang", "copy").agg(F.max("trusted").alias("trusted"), F.min(value).alias(value))
+
+
 def _level(rows: DataFrame, least: int) -> DataFrame:
     """Add ``score``: the distance from the language's level in units of the expected scatter."""
     middle = lambda of: F.percentile_approx(of, 0.5, ACCURACY)
     own = F.when(F.col("trusted"), F.col("log_perplexity"))
-    levels = rows.groupBy("lang").agg(
+    each = _each_text(rows, "log_perplexity")
+    levels = each.groupBy("lang").agg(
         F.count(own).alias("support"), F.count("log_perplexity").alias("documents"), middle(own).alias("own"), middle(F.col("log_perplexity")).alias("all")
     )
-    overall = rows.agg(middle(own).alias("level")).first()["level"]  # one number
+    overall = each.agg(middle(own).alias("level")).first()["level"]  # one number
     level = F.when(F.col("support") >= least, F.col("own")).when(F.col("documents") >= least, F.col("all"))
     level = level.otherwise(F.lit(overall).cast("double"))
     scatter = F.sqrt(1 / F.greatest(F.col("n"), F.lit(1)) + 1 / SPREAD)
@@ -306,7 +317,7 @@ def judged(
 ) -> DataFrame:
     """Add ``score``, ``lowest`` and ``highest`` (limits of the score in the row's language) and ``kept``; stored."""
     scores = stored(_level(rows, least), "scores")
-    sets = scores.where(F.col("trusted") & F.col("score").isNotNull())
+    sets = _each_text(scores, "score").where(F.col("trusted") & F.col("score").isNotNull())
     cut = F.percentile_approx("score", list(quantiles), ACCURACY).alias("cut")
     everywhere = sets.agg(cut).first()["cut"]  # one row of two numbers
     fallback = F.lit(None) if everywhere is None else F.array(*[F.lit(x) for x in everywhere])
