@@ -18,6 +18,8 @@ are not looked at; empty tables give empty results.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,25 +50,24 @@ def climb(messages: DataFrame) -> tuple[DataFrame, Jumps]:
         F.col("score").cast("double").alias("total"),
     )
     state = stored(state, "climb")
-    count, jumps = state.count(), []
-    for _ in range(max(count, 1).bit_length() + 1):
-        rising = state.where(F.col("up").isNotNull())
+    settled, rising, jumps = [state.where(F.col("up").isNull())], state.where(F.col("up").isNotNull()), []
+    for _ in range(state.count().bit_length() + 1):
         if rising.isEmpty():
             break
         jumps.append(rising.select("node", "up"))
-        above = state.select(
-            F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("add")
-        )
-        state = stored(
-            state.join(above, "up", "left").select(
-                "node",
-                F.col("next").alias("up"),
-                (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("add", F.lit(0.0))).alias("total"),
-            ),
-            "climb",
+        # Only messages that are still rising are joined: few trees are deep.
+        known = reduce(DataFrame.unionByName, [*settled, rising])
+        above = known.select(F.col("node").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("total").alias("add"))
+        risen = rising.join(above, "up").select(
+            "node",
+            F.col("next").alias("up"),
+            (F.col("depth") + F.col("more")).alias("depth"),
+            (F.col("total") + F.col("add")).alias("total"),
         )
-    return state.where(F.col("up").isNull()).select("node", "depth", "total"), jumps
+        risen = stored(risen, "climb")
+        settled.append(risen.where(F.col("up").isNull()))
+        rising = risen.where(F.col("up").isNotNull())
+    return reduce(DataFrame.unionByName, settled).select("node", "depth", "total"), jumps
 
 
 def _walk(start: DataFrame, jumps: Jumps, carried: list[str]) -> DataFrame:
@@ -88,7 +89,7 @@ def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
     climbed, jumps = climb(messages)
     parents = messages.select(F.col("parent").alias("node")).distinct()
     leaves = climbed.join(parents, "node", "left_anti").select("node", "depth", (F.col("total") / F.col("depth")).alias("mean"))
-    roots = _tops(leaves.select("node"), climbed, jumps)
+    roots = _tops(leaves.select("node"), jumps)
     # A rank of k within a tree of any size: partial top-k per slice of the tree, then over the slices.
     order = [F.col("mean").desc_nulls_last(), F.col("depth").desc(), F.col("node").asc()]
     ranked = leaves.join(roots, "node")
@@ -100,7 +101,7 @@ def best_paths(messages: DataFrame, paths: int = 1) -> DataFrame:
     return on_path.select("root", "path_rank", (F.col("depth") - F.col("height")).alias("place"), "node")
 
 
-def _tops(nodes: DataFrame, climbed: DataFrame, jumps: Jumps) -> DataFrame:
+def _tops(nodes: DataFrame, jumps: Jumps) -> DataFrame:
     """``node, root`` of the given nodes: the largest jumps that stay inside the tree, one after the other."""
     at = nodes.select("node", F.col("node").alias("root"))
     for k in reversed(range(len(jumps))):
