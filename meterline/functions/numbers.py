@@ -36,9 +36,12 @@ def rounded(c: Column | str, digits: int) -> Column:
 
 
 def to_money(c: Column | str) -> Column:
-    """Number to DECIMAL(18,3) by way of thousandths; a plain cast prints and parses each double."""
-    value = F.col(c) if isinstance(c, str) else c
-    return (F.rint(value.cast("double") * 1000).cast("bigint").cast("decimal(18,0)") * F.lit(MILL)).cast(MONEY)
+    """Number to DECIMAL(18,3) by way of thousandths, ties away from zero; a plain cast prints and parses each double."""
+    scaled = (F.col(c) if isinstance(c, str) else c).cast("double") * 1000
+    size = F.abs(scaled)
+    mills = F.floor(size) + F.when(size - F.floor(size) >= 0.5, 1).otherwise(0)
+    signed = F.when(scaled < 0, -mills).otherwise(mills)
+    return (signed.cast("decimal(18,0)") * F.lit(MILL)).cast(MONEY)
 
 
 def safe_ratio(top: Column, bottom: Column, digits: int | None = None) -> Column:
@@ -53,10 +56,6 @@ def pct_change(now: Column, before: Column, digits: int = 2) -> Column:
     return rounded(F.lit(100.0) * (now - before) / F.nullif(before, F.lit(0.0)), digits)
 
 
-def pct_of(part: Column, whole: Column, digits: int = 2) -> Column:
-    return rounded(F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
-
-
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN becomes NULL in every float column; other columns pass through."""
     floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}

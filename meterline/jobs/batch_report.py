@@ -39,10 +39,11 @@ def main() -> int:
     parser.add_argument("--zones", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--day", required=True)
+    parser.add_argument("--files", type=int, default=4, help="number of files to write, and of tasks that write them")
     args = parser.parse_args()
     spark = build_session("batch_report")
     answers = batch_report(
-        spark, spark.read.parquet(args.trips), dim_zones(read_csv(spark, args.zones)), args.out, args.day
+        spark, spark.read.parquet(args.trips), dim_zones(read_csv(spark, args.zones)), args.out, args.day, args.files
     )
     print(f"Spark {spark.version}")
     for name, df in answers.items():

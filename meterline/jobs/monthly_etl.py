@@ -15,7 +15,7 @@ from meterline.operators.quality import partition_validation
 from meterline.schemas import PICKUP_PREFIX, get_schema
 from meterline.session import build_session
 from meterline.sinks.tables import append_evolving, reload_partitions
-from meterline.sources.files import drop_missing_pickup, list_files, read_drifting, read_month_csv
+from meterline.sources.files import drop_missing_pickup, read_month_csv, read_monthly
 
 log = logging.getLogger(__name__)
 
@@ -52,10 +52,9 @@ def backfill(
     return {service: load_months(spark, source, target, service, wanted) for service, target in targets.items()}
 
 
-def append_months(spark: SparkSession, source: str, target: str, service: str) -> None:
-    """Append all Parquet files of a service with its fixed schema, whatever types the files have."""
-    files = list_files(spark, source, f"{service}_tripdata_*.parquet")
-    trips = read_drifting(spark, files, get_schema(service))
+def append_months(spark: SparkSession, source: str, target: str, service: str, months: list[tuple[int, int]] | None = None) -> None:
+    """Append the Parquet files of a service, of all months or of some, in its fixed schema, whatever types they have."""
+    trips = read_monthly(spark, source, service, months)
     time = f"{PICKUP_PREFIX[service]}_pickup_datetime"
     append_evolving(trips, target, get_schema(service), time, ["PULocationID", "DOLocationID"])
 

@@ -14,39 +14,49 @@ from meterline.sinks import tables
 from meterline.sources import catalog
 from meterline.sources.sample import raw_trips
 
-GREEN_COLUMNS = ["VendorID", "lpep_pickup_datetime", "PULocationID", "trip_distance", "total_amount"]
 
+# Number of files of the evenly split table: a parameter of the queries and of their SQL.
+FILES = 4
 
-@query("repartition_write", "SELECT COUNT(*) AS row_count, COUNT(DISTINCT l_partkey % 7) AS rate_codes FROM lineitem")
+
+@query(
+    "repartition_write",
+    f"WITH {RAW} SELECT COUNT(*) AS row_count, COUNT(DISTINCT RatecodeID) AS rate_codes, COUNT(tolls_amount) AS tolls, "
+    "CAST(21 AS BIGINT) AS column_count FROM raw",
+)
 def repartition_write(spark, sf_dir):
     path = run_dir(spark, "repartitioned")
-    trips = raw_trips(spark, sf_dir, None, ["VendorID", "RatecodeID", "trip_distance", "fare_amount"])
-    tables.write_files(trips, path, _files_for(spark, sf_dir))
-    return spark.read.parquet(path).agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_distinct("RatecodeID").alias("rate_codes")
+    tables.write_files(raw_trips(spark, sf_dir), path, FILES)
+    written = spark.read.parquet(path)
+    return written.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("RatecodeID").alias("rate_codes"),
+        F.count("tolls_amount").alias("tolls"),
+        F.lit(len(written.columns)).cast("bigint").alias("column_count"),
     )
 
 
-def _files_for(spark, sf_dir) -> int:
-    """Four files for small input, more as it grows."""
-    size = catalog.file_stats(spark.read.parquet(f"{sf_dir}/lineitem.parquet")).first()["total_bytes"]
-    return tables.file_target(size, 4)
-
-
-@query("file_size_stats", "SELECT CAST(4 AS BIGINT) AS file_count, COUNT(*) AS row_count, TRUE AS all_filled FROM lineitem")
+@query(
+    "file_size_stats",
+    f"SELECT CAST({FILES} AS BIGINT) AS file_count, COUNT(*) AS row_count, TRUE AS all_filled, TRUE AS adds_up FROM lineitem",
+)
 def file_size_stats(spark, sf_dir):
     path = run_dir(spark, "sized")
-    trips = raw_trips(spark, sf_dir, None, ["VendorID", "RatecodeID", "trip_distance", "fare_amount"])
-    tables.write_files(trips, path, _files_for(spark, sf_dir))
-    return catalog.file_stats(spark.read.parquet(path)).select(
-        "file_count", "row_count", ((F.col("smallest_bytes") > 0) & (F.col("avg_mb") >= 0)).alias("all_filled")
+    tables.write_files(raw_trips(spark, sf_dir), path, FILES)
+    written = spark.read.parquet(path)
+    listed = catalog.file_list(written).agg(F.sum("size_bytes").alias("listed_bytes"))
+    return catalog.file_stats(written).join(listed).select(
+        "file_count",
+        "row_count",
+        ((F.col("smallest_bytes") > 0) & (F.col("avg_mb") >= 0)).alias("all_filled"),
+        (F.col("total_bytes") == F.col("listed_bytes")).alias("adds_up"),
     )
 
 
 @query("replace_load", f"WITH {GREEN} SELECT VendorID, COUNT(*) AS row_count FROM green GROUP BY VendorID")
 def replace_load(spark, sf_dir):
     name, root = f"trips_{uuid.uuid4().hex}", run_dir(spark, "replaced")
-    trips = raw_trips(spark, sf_dir, "green", ["VendorID", "trip_distance"])
+    trips = raw_trips(spark, sf_dir, "green")
     for _ in range(2):
         tables.load_table(trips, name, "replace", f"{root}/{name}")
     return spark.table(name).groupBy("VendorID").agg(F.count(F.lit(1)).alias("row_count"))
@@ -62,7 +72,7 @@ def partition_reload(spark, sf_dir):
     """All months are loaded, then those of 1999 again with doubled amounts, twice."""
     path = run_dir(spark, "reloaded")
     t = "lpep_pickup_datetime"
-    trips = raw_trips(spark, sf_dir, "green", GREEN_COLUMNS).withColumns({"year": F.year(t), "month": F.month(t)})
+    trips = raw_trips(spark, sf_dir, "green").withColumns({"year": F.year(t), "month": F.month(t)})
     trips = trips.withColumn("total_amount", F.col("total_amount").cast("decimal(18,2)"))
     tables.reload_partitions(trips, path, [])
     changed = trips.where(F.col("year") == 1999).withColumn(
@@ -87,9 +97,8 @@ EVOLVING = struct(VendorID=INT, pickup=TIME, PULocationID=INT, DOLocationID=INT,
 def append_evolve(spark, sf_dir):
     """One load has the fee as a whole number, the other lacks it and brings a new field."""
     path = run_dir(spark, "evolving")
-    common = ["VendorID", "PULocationID", "DOLocationID", "total_amount"]
-    yellow = raw_trips(spark, sf_dir, "yellow", ["tpep_pickup_datetime", *common])
-    green = raw_trips(spark, sf_dir, "green", ["lpep_pickup_datetime", *common])
+    yellow = raw_trips(spark, sf_dir, "yellow").drop("ehail_fee")
+    green = raw_trips(spark, sf_dir, "green").drop("ehail_fee")
     first = yellow.withColumnRenamed("tpep_pickup_datetime", "pickup").withColumn("ehail_fee", F.lit(0).cast("bigint"))
     second = green.withColumnRenamed("lpep_pickup_datetime", "pickup").withColumn("cbd_fee", F.lit(0.75))
     for load in (first, second):
@@ -112,10 +121,8 @@ def append_evolve(spark, sf_dir):
     COUNT(DISTINCT PULocationID) AS unique_pickup_locations FROM raw""",
 )
 def ctas_profile(spark, sf_dir):
-    from meterline.plans.reports import distinct_counts
-
     name, root = f"copied_{uuid.uuid4().hex}", run_dir(spark, "ctas")
-    tables.load_table(raw_trips(spark, sf_dir, None, ["VendorID", "PULocationID"]), name, "fail", f"{root}/{name}")
+    tables.load_table(raw_trips(spark, sf_dir), name, "fail", f"{root}/{name}")
     return distinct_counts(spark.table(name))
 
 
@@ -127,7 +134,7 @@ def ctas_profile(spark, sf_dir):
 def ctas_partitioned(spark, sf_dir):
     path = run_dir(spark, "clustered")
     t = "trip_dropoff_datetime"
-    trips = raw_trips(spark, sf_dir, None, ["VendorID", t, "trip_distance"])
-    tables.write_clustered(trips.withColumn("dropoff_date", F.to_date(t)), path, ["dropoff_date"], ["VendorID"])
+    trips = raw_trips(spark, sf_dir)
+    tables.write_clustered(trips.withColumn("dropoff_date", F.to_date(t)), path, ["dropoff_date"], ["VendorID"], spread=8)
     chosen = tables.time_slice(spark.read.parquet(path), t, "1998-03-01", "1998-03-15 23:59:59", "dropoff_date")
     return chosen.groupBy("VendorID").agg(F.count(F.lit(1)).alias("row_count"))

@@ -9,7 +9,10 @@ from meterline.operators import profile
 from meterline.queries.base import RAW, query
 from meterline.sources.sample import raw_trips, table
 
-NUMERIC = ["passenger_count", "trip_distance", "fare_amount", "tip_amount", "total_amount"]
+NUMERIC = [
+    "VendorID", "RatecodeID", "PULocationID", "DOLocationID", "passenger_count", "trip_distance", "fare_amount", "extra", "mta_tax",
+    "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount", "congestion_surcharge", "payment_type", "trip_type",
+]
 
 
 def _describe_sql(column: str) -> str:
@@ -41,11 +44,10 @@ def missing_profile(spark, sf_dir):
 
 @query(
     "duplicate_count",
-    """SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey FROM lineitem)) AS duplicate_rows
-    FROM lineitem""",
+    "SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicate_rows FROM lineitem",
 )
 def duplicate_count(spark, sf_dir):
-    return profile.duplicate_rows(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey"))
+    return profile.duplicate_rows(table(spark, sf_dir, "lineitem"))
 
 
 ANOMALIES = {

@@ -186,11 +186,11 @@ def dq_row_rules(spark, sf_dir):
 
 @query(
     "valid_split",
-    f"""WITH {RAW} SELECT COALESCE(trip_distance >= 0 AND trip_distance < 40, FALSE) AS is_valid, COUNT(*) AS trip_count FROM raw GROUP BY ALL""",
+    f"""WITH {RAW} SELECT COALESCE(trip_distance >= 0 AND trip_distance < 100 AND total_amount > 0 AND total_amount < 50000, FALSE) AS is_valid, COUNT(*) AS trip_count FROM raw GROUP BY ALL""",
 )
 def valid_split(spark, sf_dir):
-    trips = raw_trips(spark, sf_dir, None, ["trip_distance"])
-    tagged = dq.split_valid(trips, "trip_distance >= 0 AND trip_distance < 40")
+    trips = raw_trips(spark, sf_dir, None, ["trip_distance", "total_amount"])
+    tagged = dq.split_valid(trips, "trip_distance >= 0 AND trip_distance < 100 AND total_amount > 0 AND total_amount < 50000")
     return tagged.groupBy("is_valid").agg(F.count(F.lit(1)).alias("trip_count"))
 
 

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions.names import normalize_columns, snake_columns
+from meterline.functions.numbers import to_money
 from meterline.queries.base import GREEN, RAW, ZONES, query
 from meterline.schemas import DOUBLE, INT, LONG, TEXT, struct
 from meterline.schemas import ZONES as ZONE_SCHEMA
 from meterline.session import run_dir
-from meterline.sinks.tables import rebalanced, spread_small_writes
+from meterline.sinks.tables import rebalanced
 from meterline.sources import catalog, files, messages, pages
 from meterline.sources.sample import raw_trips, raw_zones, table
 from meterline.streaming.jobs import replay_messages
@@ -27,8 +30,7 @@ def land_monthly(spark, sf_dir, service: str, prefix: str) -> str:
     """Raw trips of a service as monthly Parquet folders."""
     root, month = run_dir(spark, "monthly"), f"{service}_tripdata_"
     trips = raw_trips(spark, sf_dir, service).withColumn(month, F.date_format(f"{prefix}_pickup_datetime", "yyyy-MM"))
-    with spread_small_writes(spark):
-        rebalanced(trips, month).write.partitionBy(month).parquet(root)
+    rebalanced(trips, month).write.partitionBy(month).parquet(root)
     return root
 
 
@@ -62,15 +64,14 @@ def scan_zones(spark, sf_dir):
 def scan_csv_gz(spark, sf_dir):
     root, month = run_dir(spark, "csv"), "yellow_tripdata_"
     trips = raw_trips(spark, sf_dir, "yellow").withColumn(month, F.date_format("tpep_pickup_datetime", "yyyy-MM"))
-    with spread_small_writes(spark):
-        (
-            rebalanced(trips, month)
-            .write.partitionBy(month)
-            .option("header", "true")
-            .option("compression", "gzip")
-            .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-            .csv(root)
-        )
+    (
+        rebalanced(trips, month)
+        .write.partitionBy(month)
+        .option("header", "true")
+        .option("compression", "gzip")
+        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+        .csv(root)
+    )
     loaded = files.drop_missing_pickup(files.read_month_csv(spark, root, "yellow"), "yellow")
     return loaded.groupBy("year", "month").agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -99,7 +100,10 @@ def external_table_profile(spark, sf_dir):
     )
 
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 @query(
@@ -110,18 +114,16 @@ def table_row_counts(spark, sf_dir):
     return catalog.row_counts({t: table(spark, sf_dir, t) for t in TABLES})
 
 
-COLUMN_COUNTS = {"customer": 5, "orders": 6, "lineitem": 11, "events": 6}
-
-
 @query(
     "table_sizes",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, CAST({n} AS BIGINT) AS column_count, TRUE AS has_bytes FROM {t}"
-        for t, n in COLUMN_COUNTS.items()
+        f"""SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM {t}) AS row_count, COUNT(*) AS column_count, TRUE AS has_bytes
+        FROM (DESCRIBE {t})"""
+        for t in TABLES
     ),
 )
 def table_sizes(spark, sf_dir):
-    sizes = catalog.table_sizes({t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in COLUMN_COUNTS})
+    sizes = catalog.table_sizes({t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES})
     return sizes.select("table_name", "row_count", "column_count", (F.col("size_bytes") > 0).alias("has_bytes"))
 
 
@@ -276,3 +278,69 @@ def paged_offset_scan(spark, sf_dir):
 def child_tables(spark, sf_dir):
     _, children = pages.split_child_tables(_books(spark, sf_dir), "key")
     return children["author_name"]
+
+
+@query(
+    "scan_drifting",
+    f"""WITH {GREEN} SELECT VendorID, RatecodeID, pickup AS lpep_pickup_datetime, total_amount, trip_type FROM green""",
+)
+def scan_drifting(spark, sf_dir):
+    """Months of three kinds: as they should be, with BIGINT ids and DOUBLE codes, and without the trip type's number type."""
+    root = run_dir(spark, "drifting")
+    trips = raw_trips(spark, sf_dir, "green").withColumn("month", F.date_format("lpep_pickup_datetime", "yyyy-MM"))
+    drift = [
+        {},
+        {"VendorID": F.col("VendorID").cast("bigint"), "RatecodeID": F.col("RatecodeID").cast("double")},
+        {"trip_type": F.col("trip_type").cast("double"), "PULocationID": F.col("PULocationID").cast("bigint")},
+    ]
+    for kind, changed in enumerate(drift):
+        part = trips.where(F.month("lpep_pickup_datetime") % len(drift) == kind).withColumns(changed)
+        rebalanced(part, "month").write.mode("append").partitionBy("month").parquet(f"{root}/{kind}")
+    merged = [files.read_drifting(spark, _months_below(spark, f"{root}/{kind}"), files.get_schema("green")) for kind in range(len(drift))]
+    wanted = ["VendorID", "RatecodeID", "lpep_pickup_datetime", "total_amount", "trip_type"]
+    return reduce(DataFrame.unionByName, merged).select(*wanted)
+
+
+def _months_below(spark, root: str) -> list[str]:
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    return sorted(r.folder for r in listed.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")).distinct().collect())
+
+
+@query(
+    "csv_whole_numbers",
+    f"WITH {GREEN} SELECT VendorID, PULocationID, COUNT(*) AS row_count FROM green GROUP BY ALL",
+)
+def csv_whole_numbers(spark, sf_dir):
+    """Whole-number columns written as n.0."""
+    path = run_dir(spark, "whole")
+    ids = {c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("VendorID", "PULocationID", "RatecodeID")}
+    raw_trips(spark, sf_dir, "green").withColumns(ids).write.option("header", "true").csv(path)
+    loaded = files.conform(files.read_csv(spark, path), files.get_schema("green"))
+    return loaded.groupBy("VendorID", "PULocationID").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query(
+    "json_bad_field",
+    """SELECT CASE WHEN event_type <> 'view' THEN CAST(user_id AS BIGINT) END AS "PULocationID", CAST(user_id + 1 AS BIGINT) AS "DOLocationID",
+    value AS total_amount FROM events WHERE event_type <> 'error'""",
+)
+def json_bad_field(spark, sf_dir):
+    """Views have text in a number field, which is NULL; errors are cut short, which drops the record."""
+    kind = F.col("event_type")
+    whole = messages.to_message(
+        [F.col("user_id").alias("PULocationID"), (F.col("user_id") + 1).alias("DOLocationID"), F.col("value").alias("total_amount")]
+    )
+    bad_field = F.regexp_replace(whole, r'"PULocationID":[0-9]+', '"PULocationID":"abc"')
+    spoiled = F.when(kind == "view", bad_field).when(kind == "error", F.left(whole, F.length(whole) - 3)).otherwise(whole)
+    given = table(spark, sf_dir, "events").select(spoiled.alias("value"))
+    return messages.decode(given, struct(PULocationID=INT, DOLocationID=INT, total_amount=DOUBLE))
+
+
+@query(
+    "money_ties",
+    "SELECT l_orderkey, l_linenumber, CAST(CAST((l_orderkey % 4001 - 2000) / 16.0 / 100 AS DOUBLE) AS DECIMAL(18,3))::DOUBLE AS amount FROM lineitem",
+)
+def money_ties(spark, sf_dir):
+    """Amounts in sixteenths of a hundredth: many of them are exact ties of thousandths."""
+    amount = (F.col("l_orderkey") % 4001 - 2000) / F.lit(16.0) / F.lit(100)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", to_money(amount).alias("amount"))

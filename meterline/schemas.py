@@ -9,36 +9,32 @@ TEXT, TIME, DATE = T.StringType(), T.TimestampType(), T.DateType()
 
 
 def struct(**fields) -> T.StructType:
-    """Schema from name = type, or name = (type, comment)."""
-    out = T.StructType()
-    for name, given in fields.items():
-        kind, comment = given if isinstance(given, tuple) else (given, None)
-        out.add(name, kind, True, {"comment": comment} if comment else None)
-    return out
+    """Schema from name = type."""
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 # Column names and types of the public trip record files.
 GREEN_RAW = struct(
-    VendorID=(INT, "technology provider, 1 or 2"),
-    lpep_pickup_datetime=(TIME, "meter started"),
-    lpep_dropoff_datetime=(TIME, "meter stopped"),
-    store_and_fwd_flag=(TEXT, "Y when the record was held in the vehicle first"),
-    RatecodeID=(INT, "rate code at the end of the trip"),
-    PULocationID=(INT, "zone where the meter started"),
-    DOLocationID=(INT, "zone where the meter stopped"),
-    passenger_count=(DOUBLE, "entered by the driver, fractional in some files"),
-    trip_distance=(DOUBLE, "miles on the meter"),
-    fare_amount=(DOUBLE, "time and distance fare"),
-    extra=(DOUBLE, "surcharges"),
-    mta_tax=(DOUBLE, "tax by metered rate"),
-    tip_amount=(DOUBLE, "card tips only"),
-    tolls_amount=(DOUBLE, "all tolls of the trip"),
-    ehail_fee=(DOUBLE, "fractional in some months, whole in others"),
-    improvement_surcharge=(DOUBLE, "flat surcharge"),
-    total_amount=(DOUBLE, "charged to the passenger, without cash tips"),
-    congestion_surcharge=(DOUBLE, "zone surcharge"),
-    payment_type=(INT, "payment code"),
-    trip_type=(INT, "street hail or dispatch"),
+    VendorID=INT,
+    lpep_pickup_datetime=TIME,
+    lpep_dropoff_datetime=TIME,
+    store_and_fwd_flag=TEXT,
+    RatecodeID=INT,
+    PULocationID=INT,
+    DOLocationID=INT,
+    passenger_count=DOUBLE,
+    trip_distance=DOUBLE,
+    fare_amount=DOUBLE,
+    extra=DOUBLE,
+    mta_tax=DOUBLE,
+    tip_amount=DOUBLE,
+    tolls_amount=DOUBLE,
+    ehail_fee=DOUBLE,
+    improvement_surcharge=DOUBLE,
+    total_amount=DOUBLE,
+    congestion_surcharge=DOUBLE,
+    payment_type=INT,
+    trip_type=INT,
 )
 
 YELLOW_RAW = struct(

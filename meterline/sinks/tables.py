@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import logging
-from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,7 +14,6 @@ from meterline.sources.files import conform
 log = logging.getLogger(__name__)
 
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
-TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 
 def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -23,22 +21,6 @@ def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
-@contextmanager
-def spread_small_writes(spark: SparkSession):
-    """Let AQE keep small shuffle partitions apart during a write into many folders.
-
-    Opening a file costs more than filling a small one, so the folders of a small table should not
-    all be written by one task. Large writes are cut by the advisory size and do not notice.
-    """
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "16k")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def load_table(df: DataFrame, name: str, if_exists: str = "replace", path: str | None = None) -> bool:
     """Load a catalog table, external where a path is given.
 
@@ -75,11 +57,6 @@ def write_files(df: DataFrame, path: str, files: int) -> None:
     df.repartition(files).write.mode("overwrite").parquet(path)
 
 
-def file_target(total_bytes: int, at_least: int = 4) -> int:
-    """File count that keeps files near the target size as the input grows."""
-    return max(at_least, -(-total_bytes // TARGET_FILE_BYTES))
-
-
 def write_clustered(
     df: DataFrame,
     path: str,
@@ -87,14 +64,18 @@ def write_clustered(
     cluster_by: list[str] | None = None,
     mode: str = "overwrite",
     bloom_on: list[str] | None = None,
+    spread: int | None = None,
 ) -> None:
     """Partitioned table, sorted inside each file so that min/max statistics can skip row groups.
 
-    ``bloom_on`` names lookup columns that get Parquet bloom filters, in the place of an index.
+    ``bloom_on`` names lookup columns that get Parquet bloom filters, in the place of an index. A partition
+    column should leave some hundred MB per value: a folder per day of a small table is mostly file overhead.
+    ``spread`` is a number of tasks for such tables, which Spark would otherwise write in one; without it large
+    partitions are split over tasks and small ones share one.
     """
     parts, order = partition_by or [], cluster_by or []
     if parts:
-        df = rebalanced(df, *parts)
+        df = rebalanced(df, *parts) if spread is None else df.repartition(spread, *parts)
     if parts or order:
         df = df.sortWithinPartitions(*parts, *order)
     writer = df.write.mode(mode)
@@ -102,37 +83,32 @@ def write_clustered(
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if parts:
         writer = writer.partitionBy(*parts)
-    with spread_small_writes(df.sparkSession):
-        writer.parquet(path)
+    writer.parquet(path)
 
 
 def reload_partitions(df: DataFrame, path: str, expected: list[tuple[int, int]]) -> dict[tuple[int, int], int]:
-    """Replace exactly the (year, month) partitions in the input, atomically per partition.
+    """Replace the (year, month) partitions of the input; ``expected`` names them, an empty list takes what comes.
 
-    Running it again gives the same table. A month without rows is an error; since partitions are
-    only replaced by rows, nothing of that month has changed by then. Returns rows per month.
+    Rows per month are counted first, from two columns: a month that is expected and has no rows, or has rows and isn't
+    expected, is an error before anything is written. Running a load again gives the same table. Spark replaces
+    the partitions in one commit of the job; on stores without an atomic rename readers may see it half done.
     """
-    seen = Observation()
-    names = {ym: f"m{ym[0]}_{ym[1]}" for ym in expected}
-    watched = df.observe(
-        seen,
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if((F.col("year") == y) & (F.col("month") == m)).alias(n) for (y, m), n in names.items()],
-    )
-    with spread_small_writes(df.sparkSession):
-        (
-            rebalanced(watched, "year", "month")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("year", "month")
-            .parquet(path)
-        )
-    if seen.get["rows"] == 0:
+    found = df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {(r["year"], r["month"]): r["n"] for r in found}
+    if not counts:
         raise ValueError("no rows to load")
-    counts = {ym: seen.get[n] for ym, n in names.items()}
-    empty = sorted(ym for ym, n in counts.items() if n == 0)
-    if empty:
-        raise ValueError(f"no rows for {empty}")
+    if expected:
+        if missing := sorted(set(expected) - set(counts)):
+            raise ValueError(f"no rows for {missing}")
+        if strays := sorted(set(counts) - set(expected), key=str):
+            raise ValueError(f"unexpected months {strays}")
+    (
+        rebalanced(df, "year", "month")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("year", "month")
+        .parquet(path)
+    )
     return counts
 
 

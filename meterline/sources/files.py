@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,30 +25,40 @@ def counted(df: DataFrame, observation: Observation) -> DataFrame:
     return df.observe(observation, F.count(F.lit(1)).alias("rows"))
 
 
-def read_monthly(spark: SparkSession, root: str, service: str) -> DataFrame:
-    """All monthly files of one service by file-name pattern."""
-    return spark.read.schema(get_schema(service)).parquet(f"{root}/{service}_tripdata_*")
+def month_paths(spark: SparkSession, root: str, service: str, months: list[tuple[int, int]] | None = None) -> list[str]:
+    """The monthly files or folders of a service, all or some; no file is read.
+
+    Only one path per month reaches the driver, however many part files a month has.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    month = F.regexp_extract("path", rf"^(.*/{service}_tripdata_=?(\d{{4}}-\d{{2}})[^/]*)", 1)
+    found = sorted(r.month for r in listed.select(month.alias("month")).where("month <> ''").distinct().collect())
+    if months is None:
+        return found
+    wanted = {f"{year:04d}-{number:02d}" for year, number in months}
+    return [path for path in found if re.search(r"_tripdata_=?(\d{4}-\d{2})", path)[1] in wanted]
 
 
-def list_files(spark: SparkSession, root: str, pattern: str) -> list[str]:
-    """Paths below a folder, without reading the files."""
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select("path")
-    )
-    return sorted(row.path for row in listed.collect())
+def read_monthly(spark: SparkSession, root: str, service: str, months: list[tuple[int, int]] | None = None) -> DataFrame:
+    """Monthly Parquet of one service in its fixed schema, whatever types a month was written with."""
+    return read_drifting(spark, month_paths(spark, root, service, months), get_schema(service))
 
 
 def conform(df: DataFrame, schema: T.StructType, keep_new: bool = False) -> DataFrame:
     """Cast to a fixed schema by name; absent columns become NULL, new ones are dropped or kept."""
-    have = {c.lower(): c for c in df.columns}
-    fixed = [
-        (F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ]
+    have = {f.name.lower(): f for f in df.schema.fields}
+
+    def fixed_column(f: T.StructField):
+        given = have.get(f.name.lower())
+        if given is None:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        column = F.col(given.name)
+        if isinstance(given.dataType, T.StringType) and isinstance(f.dataType, T.IntegralType):
+            # "1.0" is a whole number, too; text that is no number stays an error
+            column = F.coalesce(column.try_cast(f.dataType), F.bround(column.cast("double")).cast(f.dataType))
+        return column.cast(f.dataType).alias(f.name)
+
+    fixed = [fixed_column(f) for f in schema.fields]
     known = {f.name.lower() for f in schema.fields}
     extra = [F.col(c) for c in df.columns if c.lower() not in known] if keep_new else []
     return df.select(*fixed, *extra)
@@ -56,14 +67,16 @@ def conform(df: DataFrame, schema: T.StructType, keep_new: bool = False) -> Data
 def read_drifting(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
     """Files whose column types differ from month to month, as one table of the fixed schema.
 
-    Files are grouped by the schema in their footer: one scan per distinct schema, not per file.
+    ``paths`` are months (files, or folders whose parts share one schema). One footer per month is read, and one scan
+    made per distinct schema.
     """
-    groups: dict[str, list[str]] = {}
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for path in paths:
-        groups.setdefault(spark.read.parquet(path).schema.json(), []).append(path)
+        found = spark.read.parquet(path).schema
+        groups.setdefault(found.json(), (found, []))[1].append(path)
     if not groups:
         raise ValueError("no files to read")
-    scans = [conform(spark.read.parquet(*members), schema) for members in groups.values()]
+    scans = [conform(spark.read.schema(found).parquet(*members), schema) for found, members in groups.values()]
     return reduce(DataFrame.unionByName, scans)
 
 

@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 from meterline.functions.timeparts import parse_stamp
 from meterline.schemas import GREEN_EVENT, RIDE
 
-CORRUPT = "_corrupt"
-
 
 def kafka_options(servers: str, topic: str, start: str | int = "earliest") -> dict[str, str]:
     """Reader options. ``start`` is earliest, latest or epoch milliseconds."""
@@ -40,17 +38,16 @@ def text_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def decode(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """JSON messages to columns; records that do not parse, NaN included, are skipped."""
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": CORRUPT,
-        "allowNonNumericNumbers": "false",
-    }
-    parsed = messages.select(F.from_json(F.col(value).cast("string"), with_corrupt, options).alias("r"))
-    return parsed.where(F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()).select(
-        *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields]
+    """JSON messages to columns. A field that does not fit its type is NULL, the rest of its record stays.
+
+    Records that do not parse as an object, those with NaN included, are skipped.
+    """
+    text = F.col(value).cast("string")
+    options = {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false"}
+    parsed = messages.where(F.ltrim(text).startswith("{") & F.try_parse_json(text).isNotNull()).select(
+        F.from_json(text, schema, options).alias("r")
     )
+    return parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
 
 
 def decode_rides(messages: DataFrame, value: str = "value") -> DataFrame:

@@ -19,7 +19,8 @@ from meterline.functions.timeparts import (
     weekday_from_one,
     weekday_from_zero,
 )
-from meterline.schemas import GREEN_RAW, YELLOW_RAW, get_schema
+from meterline.schemas import GREEN_RAW, INT, TEXT, YELLOW_RAW, get_schema, struct
+from meterline.sources import messages
 
 
 def one(spark, *columns):
@@ -73,6 +74,18 @@ def test_rounded(spark):
     assert one(spark, rounded(F.lit(None).cast("double"), 2)) == (None,)
 
 
+def test_money_ties_go_away_from_zero(spark):
+    values = (0.0005, 0.0025, 1.0005, 10.0625, -0.0005, -10.0625, 0.00049999)
+    got = [str(v) for v in one(spark, *[to_money(F.lit(v)) for v in values])]
+    assert got == ["0.001", "0.003", "1.001", "10.063", "-0.001", "-10.063", "0.000"]
+
+
+def test_a_bad_field_is_null_and_its_record_stays(spark):
+    lines = ['{"a":1,"b":"x"}', '{"a":"abc","b":"y"}', '{"a":2', '{"a":NaN,"b":"z"}', "[1]", "7", "", None, ' {"b":null}']
+    got = messages.decode(spark.createDataFrame([(x,) for x in lines], "value string"), struct(a=INT, b=TEXT)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, "x"), (None, "y"), (None, None)], key=str)
+
+
 def test_to_money(spark):
     got = one(spark, *[to_money(F.lit(v)) for v in (12.345, -0.1, 0.0, 99999.999)])
     assert [str(v) for v in got] == ["12.345", "-0.100", "0.000", "99999.999"]

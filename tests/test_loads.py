@@ -177,6 +177,46 @@ def test_append_months(spark, tmp_path):
     assert stored.agg(F.sum("ehail_fee")).first()[0] == 3.0
 
 
+def test_append_one_month_leaves_the_others(spark, tmp_path):
+    source, target = tmp_path / "in", str(tmp_path / "out")
+    base = files.conform(spark.range(2).select(F.col("id").alias("VendorID")), GREEN_RAW)
+    for number in (1, 2):
+        month = base.withColumn("lpep_pickup_datetime", F.lit(datetime(2020, number, 2)))
+        month.write.parquet(str(source / f"green_tripdata_2020-0{number}.parquet"))
+    monthly_etl.append_months(spark, str(source), target, "green", [(2020, 1)])
+    assert spark.read.parquet(target).count() == 2
+    monthly_etl.append_months(spark, str(source), target, "green", [(2020, 2)])
+    assert rows(spark.read.parquet(target).groupBy("pickup_month_start").count()) == [(date(2020, 1, 1), 2), (date(2020, 2, 1), 2)]
+
+
+def test_monthly_files_of_different_types(spark, tmp_path):
+    base = files.conform(spark.range(3).select(F.col("id").alias("VendorID")), GREEN_RAW)
+    base.write.parquet(str(tmp_path / "green_tripdata_2020-01.parquet"))
+    drifted = base.withColumns({"VendorID": F.col("VendorID").cast("bigint"), "RatecodeID": F.lit(1.0)})
+    drifted.write.parquet(str(tmp_path / "green_tripdata_2020-02.parquet"))
+    got = files.read_monthly(spark, str(tmp_path), "green")
+    assert got.schema.names == GREEN_RAW.names and dict(got.dtypes)["VendorID"] == "int" and got.count() == 6
+    assert files.read_monthly(spark, str(tmp_path), "green", [(2020, 2)]).agg(F.sum("RatecodeID")).first()[0] == 3
+
+
+def test_whole_numbers_in_text(spark):
+    given = spark.createDataFrame([("1.0",), ("7",), (None,), ("9007199254740993",)], "id string")
+    assert rows(files.conform(given, struct(id=LONG))) == [(1,), (7,), (9007199254740993,), (None,)]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        files.conform(spark.createDataFrame([("x",)], "id string"), struct(id=INT)).collect()
+
+
+def test_reload_refuses_months_nobody_asked_for(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2020, 1), (2, 2020, 2)], "v int, year int, month int")
+    path = str(tmp_path / "t")
+    tables.reload_partitions(df, path, [(2020, 1), (2020, 2)])
+    with pytest.raises(ValueError, match="unexpected"):
+        tables.reload_partitions(df.withColumn("v", F.lit(9)), path, [(2020, 1)])
+    with pytest.raises(ValueError, match="no rows"):
+        tables.reload_partitions(df.withColumn("v", F.lit(9)), path, [(2020, 1), (2020, 2), (2020, 3)])
+    assert rows(spark.read.parquet(path), "v") == [(1,), (2,)]
+
+
 def test_ingest(spark, tmp_path):
     spark.createDataFrame([(74, 1.5)], "PULocationID int, Trip_Distance double").write.parquet(str(tmp_path / "trips"))
     zones = [(1, "EWR", "Newark Airport", "EWR"), (264, "Unknown", "N/A", "N/A")]
@@ -206,11 +246,6 @@ def test_batch_report(spark, tmp_path):
     assert rows(got["rare_zones"]) == [(1, "Here", 8), (9, None, 8)]
 
 
-def test_file_target():
-    assert tables.file_target(1000) == 4
-    assert tables.file_target(100 * 2**40) == 204800
-
-
 def test_numbered_pages_stop_at_the_first_empty_one(spark, tmp_path):
     lines = ['{"page":1,"body":[{"TripId":1},{"TripId":2}]}', '{"page":2,"body":[{"TripId":3}]}']
     lines += ['{"page":3,"body":[]}', '{"page":4,"body":[{"TripId":9}]}']
