@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from meterline.jobs.monthly_etl import append_months
 from meterline.queries.base import GREEN, RAW, query
 from meterline.plans.reports import distinct_counts
 from meterline.schemas import DOUBLE, INT, TIME, struct
@@ -138,3 +139,83 @@ def ctas_partitioned(spark, sf_dir):
     tables.write_clustered(trips.withColumn("dropoff_date", F.to_date(t)), path, ["dropoff_date"], ["VendorID"], spread=8)
     chosen = tables.time_slice(spark.read.parquet(path), t, "1998-03-01", "1998-03-15 23:59:59", "dropoff_date")
     return chosen.groupBy("VendorID").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query(
+    "append_month",
+    f"""WITH {GREEN} SELECT CAST(date_trunc('month', pickup) AS DATE) AS pickup_month_start, COUNT(*) AS row_count,
+    COUNT(DISTINCT PULocationID) AS locations FROM green WHERE date_trunc('month', pickup) IN (DATE '1998-03-01', DATE '1998-04-01') GROUP BY ALL""",
+)
+def append_month(spark, sf_dir):
+    """Two months appended one after the other: the second leaves the first as it was."""
+    source, target, t = run_dir(spark, "months"), run_dir(spark, "appended"), "lpep_pickup_datetime"
+    trips = raw_trips(spark, sf_dir, "green").withColumn("green_tripdata_", F.date_format(t, "yyyy-MM"))
+    tables.rebalanced(trips, "green_tripdata_").write.partitionBy("green_tripdata_").parquet(source)
+    for month in (3, 4):
+        append_months(spark, source, target, "green", [(1998, month)])
+    return (
+        spark.read.parquet(target)
+        .groupBy("pickup_month_start")
+        .agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("PULocationID").alias("locations"))
+    )
+
+
+@query(
+    "reload_refuses",
+    f"""WITH {GREEN} SELECT CAST(year(pickup) AS BIGINT) AS year, COUNT(*) AS row_count, TRUE AS refused_stray, TRUE AS refused_empty
+    FROM green GROUP BY ALL""",
+)
+def reload_refuses(spark, sf_dir):
+    """A load with a month too many and one with a month too few raise and change nothing."""
+    path, t = run_dir(spark, "refusing"), "lpep_pickup_datetime"
+    trips = raw_trips(spark, sf_dir, "green").withColumns({"year": F.year(t), "month": F.month(t)})
+    months = sorted(tables.reload_partitions(trips, path, []))
+
+    def refused(expected) -> bool:
+        try:
+            tables.reload_partitions(trips.limit(0).unionByName(trips), path, expected)
+        except ValueError:
+            return True
+        return False
+
+    stray, none = refused(months[1:]), refused([*months, (1900, 1)])
+    return (
+        spark.read.parquet(path)
+        .groupBy("year")
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select("year", "row_count", F.lit(stray).alias("refused_stray"), F.lit(none).alias("refused_empty"))
+    )
+
+
+@query(
+    "model_table_clustered",
+    f"""WITH {RAW} SELECT CAST(date_trunc('month', pickup) AS DATE) AS pickup_month_start, COUNT(*) AS row_count,
+    CAST(SUM(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue FROM raw WHERE PULocationID = 7 GROUP BY ALL""",
+)
+def model_table_clustered(spark, sf_dir):
+    """A model as a table: month partitions, sorted by both locations, with a bloom filter on the lookup column."""
+    path, t = run_dir(spark, "model"), "trip_pickup_datetime"
+    trips = raw_trips(spark, sf_dir).withColumn("pickup_month_start", F.trunc(t, "month"))
+    order = ["PULocationID", "DOLocationID"]
+    tables.write_clustered(trips, path, ["pickup_month_start"], order, bloom_on=["PULocationID"], spread=8)
+    found = spark.read.parquet(path).where(F.col("PULocationID") == 7)
+    return found.groupBy("pickup_month_start").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("revenue")
+    )
+
+
+@query(
+    "sink_reset",
+    f"WITH {GREEN} SELECT COUNT(*) AS loaded, CAST(0 AS BIGINT) AS after_reset, COUNT(*) AS loaded_again FROM green",
+)
+def sink_reset(spark, sf_dir):
+    """An external table is emptied between two runs and filled again."""
+    name, root = f"reset_{uuid.uuid4().hex}", run_dir(spark, "reset")
+    trips = raw_trips(spark, sf_dir, "green")
+    counts = []
+    for step in (lambda: tables.load_table(trips, name, "append", f"{root}/{name}"), lambda: tables.reset_table(spark, name),
+                 lambda: tables.load_table(trips, name, "append", f"{root}/{name}")):
+        step()
+        counts.append(catalog.row_count(spark, name))
+    tables.drop_table(spark, name)
+    return spark.createDataFrame([tuple(counts)], "loaded long, after_reset long, loaded_again long")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from meterline.functions.numbers import rounded
@@ -21,7 +22,8 @@ from meterline.queries.base import (
     zones,
 )
 from meterline.queries.models import PERCENTILES_SQL, _fact2, _fare_percentiles, _growth
-from meterline.sources.sample import raw_trips
+from meterline.sources.files import drop_missing_pickup
+from meterline.sources.sample import raw_trips, table
 
 PICKUP, DROPOFF = "lpep_pickup_datetime", "lpep_dropoff_datetime"
 
@@ -227,10 +229,47 @@ def reconcile_counts(spark, sf_dir):
 
 @query(
     "dropna_count",
-    f"WITH {RAW} SELECT COUNT(*) FILTER (passenger_count IS NULL) AS dropped, COUNT(passenger_count) AS kept FROM raw",
+    f"""WITH {GREEN} SELECT COUNT(*) FILTER (passenger_count IS NULL) AS dropped, COUNT(passenger_count) AS kept FROM green""",
 )
 def dropna_count(spark, sf_dir):
-    trips = raw_trips(spark, sf_dir, None, ["passenger_count"])
-    return trips.agg(
-        F.count_if(F.col("passenger_count").isNull()).alias("dropped"), F.count("passenger_count").alias("kept")
-    )
+    """Trips without passengers lose their pickup time, then the operator drops and counts them."""
+    seen, pickup = Observation(), F.when(F.col("passenger_count").isNotNull(), F.col(PICKUP))
+    trips = raw_trips(spark, sf_dir, "green", ["passenger_count", PICKUP]).withColumn(PICKUP, pickup)
+    kept = drop_missing_pickup(trips, "green", seen).agg(F.count(F.lit(1)).alias("kept")).first()["kept"]
+    return spark.createDataFrame([(seen.get["dropped"], kept)], "dropped long, kept long")
+
+
+COMPARED = {"eq": ("=", 5), "gt": (">", 0), "gte": (">=", 50), "lt": ("<", 51), "lte": ("<=", 49)}
+
+
+@query(
+    "dq_comparators",
+    " UNION ALL ".join(
+        f"""SELECT 'quantity_{n}' AS check_name, 'custom' AS kind, 'error' AS severity, CAST(MAX(l_quantity) AS DOUBLE) AS value,
+        MAX(l_quantity) {sign} {limit} AS passed FROM lineitem"""
+        for n, (sign, limit) in COMPARED.items()
+    ),
+)
+def dq_comparators(spark, sf_dir):
+    checks = [
+        dq.Check(f"quantity_{n}", "custom", threshold=limit, comparison=n, expression="max(l_quantity)")
+        for n, (_, limit) in COMPARED.items()
+    ]
+    return dq.run_checks(table(spark, sf_dir, "lineitem"), checks)
+
+
+@query(
+    "dq_partition_filter",
+    """SELECT 'rows_of_1998' AS check_name, 'row_count' AS kind, 'error' AS severity,
+    CAST(COUNT(*) FILTER (year(l_shipdate) = 1998) AS DOUBLE) AS value, COUNT(*) FILTER (year(l_shipdate) = 1998) > 0 AS passed FROM lineitem
+    UNION ALL SELECT 'quantity_of_1998', 'range_check', 'warn', CAST(MAX(l_quantity) FILTER (year(l_shipdate) = 1998) AS DOUBLE),
+    COALESCE(MAX(l_quantity) FILTER (year(l_shipdate) = 1998) <= 40 AND MIN(l_quantity) FILTER (year(l_shipdate) = 1998) >= 1, FALSE) FROM lineitem""",
+)
+def dq_partition_filter(spark, sf_dir):
+    """Checks that see one partition only."""
+    one_year = "year(l_shipdate) = 1998"
+    checks = [
+        dq.Check("rows_of_1998", "row_count", where=one_year),
+        dq.Check("quantity_of_1998", "range_check", "l_quantity", 40, "lte", minimum=1, where=one_year, severity="warn"),
+    ]
+    return dq.run_checks(table(spark, sf_dir, "lineitem"), checks)

@@ -106,17 +106,17 @@ def tumble_1h_tips(spark, sf_dir):
 def _session_sql(gap: str, key: str | None, closed: bool) -> str:
     part = f"PARTITION BY {key} " if key else ""
     column = f"{key}, " if key else ""
+    shown = f"{LOCATION}, " if key else ""
     rule = f"WHERE window_end <= {CLOSED}" if closed else ""
     return f"""WITH g AS (SELECT *, LAG(ts) OVER ({part}ORDER BY ts, event_id) AS prev FROM events),
     n AS (SELECT *, SUM(CASE WHEN prev IS NULL OR ts - prev > INTERVAL {gap} THEN 1 ELSE 0 END) OVER ({part}ORDER BY ts, event_id) AS sid FROM g),
-    s AS (SELECT MIN(ts) AS window_start, MAX(ts) + INTERVAL {gap} AS window_end, {column}COUNT(*) AS num_trips FROM n GROUP BY {column}sid)
+    s AS (SELECT MIN(ts) AS window_start, MAX(ts) + INTERVAL {gap} AS window_end, {shown}COUNT(*) AS num_trips FROM n GROUP BY {column}sid)
     SELECT * FROM s {rule}"""
 
 
-@query("session_per_key", _session_sql("30 MINUTE", "event_type", closed=True))
+@query("session_per_key", _session_sql("5 MINUTE", "user_id", closed=True))
 def session_per_key(spark, sf_dir):
-    keyed = ["event_type"]
-    return _job(spark, sf_dir, "sessions", lambda e: jobs.location_sessions(e, "30 minutes", keyed))
+    return _job(spark, sf_dir, "sessions", jobs.location_sessions)
 
 
 @query("session_global", _session_sql("5 MINUTE", None, closed=False))
@@ -216,7 +216,8 @@ def stream_batch_parity(spark, sf_dir):
     FROM ({_tumble_sql("1 HOUR", REVENUE, closed=False)}) GROUP BY window_start""",
 )
 def window_rollup(spark, sf_dir):
-    return jobs.rollup(jobs.location_revenue(ride_events(spark, sf_dir)))
+    """From the table that the stream has stored."""
+    return jobs.rollup(_hourly_upserts(spark, sf_dir))
 
 
 @query(

@@ -52,6 +52,11 @@ def truncate_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 
 
+def reset_table(spark: SparkSession, name: str) -> None:
+    """Empty a table between runs, external ones included, which TRUNCATE refuses. Schema and location stay."""
+    spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
+
+
 def write_files(df: DataFrame, path: str, files: int) -> None:
     """Exactly ``files`` Parquet files of even size."""
     df.repartition(files).write.mode("overwrite").parquet(path)
