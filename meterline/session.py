@@ -75,6 +75,24 @@ def shared_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[context.applicationId]
 
 
+_MADE: dict[str, list[str]] = {}
+
+
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A new, never reused path under the shared root."""
-    return os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex}")
+    """A new, never reused path under the shared root; ``release`` deletes it."""
+    path = os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex}")
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the folders that ``run_dir`` has handed out to this application, wherever they are; returns how many existed.
+
+    For the end of an application, when no result that reads them is in use any more.
+    """
+    context = spark.sparkContext
+    gone = 0
+    for path in _MADE.pop(context.applicationId, []):
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        gone += place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+    return gone

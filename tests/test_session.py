@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from meterline.session import run_dir, shared_root
+from meterline.session import release, run_dir, shared_root
 
 
 def fake(master, configured=None):
@@ -31,3 +31,13 @@ def test_run_folders_are_never_reused(spark):
 def test_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_released_folders_are_gone(spark):
+    release(spark)
+    path = run_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    run_dir(spark, "never-written")
+    assert release(spark) == 1 and release(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
