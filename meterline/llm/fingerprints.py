@@ -31,7 +31,7 @@ from meterline.llm.common import BLANK, FILE, POS, ROW, stored, whole_text, with
 WORDS = 5
 BINS = 256
 BITS = 4
-TRIES = 6
+TRIES = 20
 LOW = 63 - (BINS.bit_length() - 1)  # bits of a hash below its bin
 DIGITS = 64 // BITS
 
@@ -42,37 +42,38 @@ _BACK = [pow(a, -1, BINS) for a in _STEP]
 
 
 def _numbers(values: list[int]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
+    """A constant array, folded to one literal when the query is planned."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
 def shingle_hashes(text: Column) -> list[tuple[str, Column]]:
-    """Steps (name, column) that lead from a text to the distinct-enough hashes of its shingles."""
+    """Steps (name, column) that lead from a text to the 63-bit hashes of its shingles."""
     words = F.filter(F.split(F.lower(text), BLANK + "+"), lambda w: w != "")
     hashed = F.transform("__words", lambda w: F.xxhash64(w))
     last = F.size("__hashed") - WORDS + 1
     at = lambda i, k: F.get(F.col("__hashed"), i + k)
+    kept = lambda h: h.bitwiseAND(F.lit((1 << 63) - 1))
     shingled = F.when(
-        last >= 1, F.transform(F.sequence(F.lit(0), F.greatest(last - 1, F.lit(0))), lambda i: F.xxhash64(*[at(i, k) for k in range(WORDS)]))
-    ).when(F.size("__hashed") > 0, F.array(F.xxhash64("__hashed"))).otherwise(F.array().cast("array<bigint>"))
+        last >= 1, F.transform(F.sequence(F.lit(0), F.greatest(last - 1, F.lit(0))), lambda i: kept(F.xxhash64(*[at(i, k) for k in range(WORDS)])))
+    ).when(F.size("__hashed") > 0, F.array(kept(F.xxhash64("__hashed")))).otherwise(F.array().cast("array<bigint>"))
     return [("__words", words), ("__hashed", hashed), ("__shingles", shingled)]
 
 
 def densified() -> list[tuple[str, Column]]:
     """Steps that lead from shingle hashes to one value per bin, none empty unless all are."""
     empty = (1 << LOW) - 1
-    sentinels = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.shiftleft(i.cast("bigint"), LOW).bitwiseOR(F.lit(empty)))
-    placed = F.transform("__shingles", lambda h: h.bitwiseAND(F.lit((1 << 63) - 1)))
-    ordered = F.sort_array(F.concat(placed, sentinels))
-    firsts = F.filter(
-        "__ordered",
-        lambda x, i: (i == 0) | (F.shiftright(x, LOW) != F.shiftright(F.get(F.col("__ordered"), i - 1), LOW)),
-    )
+    sentinels = _numbers([i << LOW | empty for i in range(BINS)])
+    ordered = F.sort_array(F.concat("__shingles", sentinels))
+    # Two neighbours lie in different bins if they differ above the low bits.
+    firsts = F.filter("__ordered", lambda x, i: (i == 0) | (x.bitwiseXOR(F.get(F.col("__ordered"), i - 1)) > empty))
     values = F.transform("__firsts", lambda x: F.when(x.bitwiseAND(F.lit(empty)) != empty, x.bitwiseAND(F.lit(empty))))
     filled = F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.get(F.col("__values"), i).isNotNull())
 
+    probes = [_numbers([(_STEP[i] * t + _SHIFT[i]) % BINS for i in range(BINS)]) for t in range(1, TRIES + 1)]
+
     def value(own: Column, i: Column) -> Column:
-        step, shift, back = (F.get(F.col(c), i) for c in ("__step", "__shift", "__back"))
-        tries = [F.get(F.col("__values"), (step * t + shift) % BINS) for t in range(1, TRIES + 1)]
+        tries = [F.get(F.col("__values"), F.get(probe, i)) for probe in probes]
+        shift, back = F.get(F.col("__shift"), i), F.get(F.col("__back"), i)
         least = F.array_min(F.transform("__filled", lambda j: F.struct(((back * (j - shift + BINS) + BINS - 1) % BINS).alias("t"), j.alias("j"))))
         # named twice, so that the planner computes the filled bins once per row and not once per use
         rest = F.when(F.size("__filled") > 0, F.get(F.col("__values"), least["j"]))
@@ -83,7 +84,6 @@ def densified() -> list[tuple[str, Column]]:
         ("__firsts", firsts),
         ("__values", values),
         ("__filled", filled),
-        ("__step", _numbers(_STEP)),
         ("__shift", _numbers(_SHIFT)),
         ("__back", _numbers(_BACK)),
         ("__dense", F.transform("__values", value)),
@@ -92,14 +92,10 @@ def densified() -> list[tuple[str, Column]]:
 
 def packed() -> Column:
     """The low-order bits of all bins, 16 digits to a long; empty if no bin has a value."""
-    longs = F.transform(
-        F.sequence(F.lit(0), F.lit(BINS // DIGITS - 1)),
-        lambda g: F.aggregate(
-            F.slice("__dense", g * DIGITS + 1, DIGITS),
-            F.lit(0).cast("bigint"),
-            lambda acc, v: F.shiftleft(acc, BITS).bitwiseOR(v.bitwiseAND(F.lit((1 << BITS) - 1))),
-        ),
-    )
+    pack = lambda acc, v: F.shiftleft(acc, BITS).bitwiseOR(v.bitwiseAND(F.lit((1 << BITS) - 1)))
+    # Written out per long, not as a lambda over them: the planner would compute the bins once per long.
+    groups = [F.slice("__dense", g * DIGITS + 1, DIGITS) for g in range(BINS // DIGITS)]
+    longs = F.array(*[F.aggregate(g, F.lit(0).cast("bigint"), pack) for g in groups])
     return F.when(F.size("__shingles") > 0, longs).otherwise(F.array().cast("array<bigint>"))
 
 
