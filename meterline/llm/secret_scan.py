@@ -170,7 +170,8 @@ def randomness(found: DataFrame) -> DataFrame:
 def ordinary_moments(tested: DataFrame) -> DataFrame:
     """Per encoding the second and third moment of the symbol frequencies in the tokens that aren't random.
 
-    Counts run over all rejected candidates. Where an encoding has none, letters of a text are assumed to fill a quarter of it.
+    Counts run over all rejected candidates. Where an encoding has none that look like text, the letters of a text are assumed to
+    fill a quarter of its alphabet.
     """
     chars = tested.where(F.col("p_random") < REJECT).select("encoding", F.explode(F.split("token", "")).alias("c")).where("c not in ('', '=')")
     counts = chars.groupBy("encoding", "c").agg(F.count(F.lit(1)).alias("n"))
@@ -184,8 +185,10 @@ def uniform_for_text(tested: DataFrame) -> DataFrame:
     moments = F.broadcast(ordinary_moments(tested))  # at most one row per encoding
     size = _pick([float(len(a)) for _, _, a in ENCODINGS])
     n = F.col("n")
-    s2 = F.coalesce("s2", 4 / size)
-    s3 = F.coalesce("s3", 16 / (size * size))
+    # Rejected candidates that are more even than a quarter of the alphabet are no text, but random ones rejected by chance.
+    textlike = F.col("s2") > 4 / size
+    s2 = F.when(textlike, F.col("s2")).otherwise(4 / size)
+    s3 = F.when(textlike, F.col("s3")).otherwise(16 / (size * size))
     mean = n + n * (n - 1) * s2
     variance = 4 * n * (n - 1) * (n - 2) * (s3 - s2 * s2) + 2 * n * (n - 1) * (s2 - s2 * s2)
     z = (mean - F.col("squares")) / F.sqrt(F.greatest(variance, F.lit(1e-9)))
