@@ -34,12 +34,12 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import stored, whole_text
+from meterline.llm.common import in_slices, stored, whole_text
 
 WINDOW = 16
 MEAN_BITS = 9
-SHARED_BYTES = 16 << 20
-CACHE_BYTES = 32 << 20
+SHARED_BYTES = 8 << 20
+CACHE_BYTES = 8 << 20
 LONGEST_SHARED = 1 << 14
 
 # The split pattern of this kind of vocabulary.
@@ -144,7 +144,7 @@ def _digest(body: bytes) -> bytes:
 
 def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Digest, length and count of the chunk bodies of one task, added up over a batch."""
-    for batch in batches:
+    for batch in in_slices(batches):
         seen: dict[bytes, list] = {}
         for data in batch.column(0).to_pylist():
             for body, shared in parts(data):
@@ -181,7 +181,7 @@ def encoded_bodies(texts: DataFrame, chosen: dict[bytes, int], make) -> dict[byt
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[bytes] = set()
-        for batch in batches:
+        for batch in in_slices(batches):
             found: dict[bytes, bytes] = {}
             for data in batch.column(0).to_pylist():
                 for body, shared in parts(data):
@@ -192,7 +192,7 @@ def encoded_bodies(texts: DataFrame, chosen: dict[bytes, int], make) -> dict[byt
 
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = make()
-        for batch in batches:
+        for batch in in_slices(batches):
             encoded = [codec.encode(b.decode()).tobytes() for b in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(encoded, pa.binary())], names=["digest", "ids"])
 
@@ -216,7 +216,7 @@ def encode_documents(docs: DataFrame, path: str, keep: list[str], shared_bytes:
         codec, shared = make(), table.value
         cache: dict[bytes, np.ndarray] = {}
         size = 0
-        for batch in batches:
+        for batch in in_slices(batches):
             out: list[tuple[bytes, int, int, str]] = []
             for data in batch.column(batch.num_columns - 1).to_pylist():
                 ids, reused = [], 0

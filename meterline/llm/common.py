@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +62,10 @@ def whole_text(name: str = "text") -> Column:
 def without_rows(keyed: DataFrame, dropped: DataFrame, columns: list[str]) -> DataFrame:
     """The rows of ``keyed`` whose key isn't in ``dropped``; Spark picks the join by the size of the keys."""
     return keyed.join(dropped.select(*ROW), ROW, "left_anti").select(*[named(c) for c in columns])
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The rows of a task, a few hundred at a time: Python objects of one slice only are alive at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import FILE, POS, ROW, named, stored, whole_text, with_row_key, without_rows
+from meterline.llm.common import FILE, POS, ROW, in_slices, named, stored, whole_text, with_row_key, without_rows
 
 ORDER = 4
 FREQUENT = 1 << 17
@@ -89,7 +89,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, counts = np.unique(np.concatenate(lot), return_counts=True)
         return _added([held, (values, counts)]) if held else (values, counts)
 
-    for batch in batches:
+    for batch in in_slices(batches):
         for text in batch.column(0).to_pylist():
             for part in grams(text):
                 lot.append(part)
@@ -203,7 +203,7 @@ def perplexities(keyed: DataFrame, model: Model, frequent: int = FREQUENT) -> Da
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per document one row with gram null (sum of known log probabilities, number of grams), and one per other gram."""
         known, logs = held.value
-        for batch in batches:
+        for batch in in_slices(batches):
             files, places, texts = (batch.column(i) for i in range(3))
             who, gram, n, total = [], [], [], []
             for i, text in enumerate(texts.to_pylist()):

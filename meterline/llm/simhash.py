@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import FILE, POS, ROW, stored, whole_text, with_row_key, without_rows
+from meterline.llm.common import FILE, POS, ROW, in_slices, stored, whole_text, with_row_key, without_rows
 from meterline.llm.components import components
 
 SHINGLE = 3
@@ -75,7 +75,7 @@ def fingerprints(keyed: DataFrame, length: int = SHINGLE) -> DataFrame:
     """Row key, doc_id and fingerprint (``fp``, its 64 bits as a signed number) of every whole text."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             found = np.fromiter((fingerprint(t, length) for t in batch.column(3).to_pylist()), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(found.view(np.int64))],
