@@ -5,9 +5,12 @@ Everything is DataFrame and SQL functions.
 Patterns. For each kind the text is split at the matches: the pieces between them and the matches themselves give every
 position in code points, whatever the text holds.
 
-Battery. Every maximal run of 20 or more characters of the base-64 alphabets is a candidate, its encoding the smallest
-alphabet that holds it (digits, hex in one case, base 32, letters and digits, base 64 in either spelling). Three tests per
-encoding ask whether it may be a draw of independent uniform symbols:
+Battery. A run of characters of the base-64 alphabets is read in three ways (``READINGS``): as base 64, as base 64 for URLs, and
+as letters and digits. Each cuts the run at the characters that it can't hold; "=" ends a piece in all of them and belongs to it
+only where the run ends, as padding. So a key glued to a name by "=", "/", "+", "_" or "-" is also looked at by itself. Every
+maximal piece of 20 or more characters (16 besides padding) is a candidate, a piece that several readings share once. Its encoding
+is the smallest alphabet that holds it (digits, hex in one case, base 32, letters and digits, base 64 in either spelling); one of
+them always does. Three tests per encoding ask whether it may be a draw of independent uniform symbols:
 
 - chi-squared of the symbol counts against a uniform alphabet,
 - runs above and below the middle of the alphabet (Wald-Wolfowitz),
@@ -23,7 +26,8 @@ within strata of encoding and length over all candidates of the corpus. p-values
 rule needs only counts per grid cell; the rule stays exact for the rounded values, and no stratum is ever gathered in one place.
 
 Defined cases. Null text counts as empty. Spans are by start, then by kind in the order assign, access, hex, random. Base spans
-stay as they are; a random span that overlaps one is left out, since it is reported already. Rows that repeat are scanned row by row,
+stay as they are; a random piece that overlaps one is left out, since it is reported already. Random pieces that overlap each other
+(readings of one run) make one span. Rows that repeat are scanned row by row,
 whole. Other columns are not looked at; an empty table gives an empty result.
 """
 
@@ -42,7 +46,10 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ["assign", "access", "hex", "random"]
 
+LEAST = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# The characters that each reading of a run holds; padding only counts at the end of the run.
+READINGS = [rf"[{held}]+(?:=+(?![A-Za-z0-9+/_=-]))?" for held in ("A-Za-z0-9+/", "A-Za-z0-9_-", "A-Za-z0-9")]
 UPPER, LOWER, NUMBERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 # name, pattern of the whole token, alphabet in symbol order; the first that fits is inferred
 ENCODINGS = [
@@ -98,15 +105,24 @@ def symbols() -> Column:
     return F.transform(chars, lambda c: F.position(c, F.col("alphabet")) - 1)
 
 
+def pieces(run: Column) -> Column:
+    """Array of (start, end, match) of the pieces of a run in all readings, each once; positions are those of the text."""
+    cut = F.concat(*[_matches(run["match"], reading, 3) for reading in READINGS])
+    long = F.filter(cut, lambda m: m["end"] - m["start"] >= LEAST)
+    moved = F.transform(long, lambda m: F.struct((run["start"] + m["start"]).alias("start"), (run["start"] + m["end"]).alias("end"), m["match"].alias("match")))
+    return F.array_distinct(moved)
+
+
 def candidates(keyed: DataFrame) -> DataFrame:
     """One row per candidate: row key, start, end, token, encoding, length and the counts that the tests need; stored."""
     text = whole_text()
-    rows = keyed.select(*ROW, F.explode(_matches(text, CANDIDATE, 3)).alias("m"))
+    runs = keyed.select(*ROW, F.explode(_matches(text, CANDIDATE, 3)).alias("run"))
+    rows = runs.select(*ROW, F.explode(pieces(F.col("run"))).alias("m"))
     rows = rows.select(*ROW, F.col("m.start").alias("start"), F.col("m.end").alias("end"), F.col("m.match").alias("token"))
     encoding = F.lit(None).cast("int")
     for place, (_, pattern, _) in reversed(list(enumerate(ENCODINGS))):
         encoding = F.when(F.rlike("token", F.lit(pattern)), F.lit(place)).otherwise(encoding)
-    rows = rows.withColumn("encoding", encoding).where(F.col("encoding").isNotNull())
+    rows = rows.withColumn("encoding", encoding)
     rows = rows.withColumn("alphabet", _pick([a for _, _, a in ENCODINGS])).withColumn("symbols", symbols())
     rows = rows.withColumn("n", F.size("symbols").cast("double")).where(F.col("n") >= 16)
     # Sum of squared symbol counts: over the alphabet, not over pairs of characters.
@@ -216,6 +232,18 @@ def discoveries(found: DataFrame, rate: float = RATE) -> DataFrame:
     return passed.where(F.col("cell") >= F.col("least_cell"))
 
 
+def joined(spans: Column) -> Column:
+    """Spans of one kind, those that overlap put together, in order."""
+
+    def step(acc: Column, s: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        wider = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
+        meets = F.coalesce(last["end"] > s["start"], F.lit(False))
+        return F.when(meets, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(wider))).otherwise(F.concat(acc, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"), step)
+
+
 def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """One row per document: doc_id, ``base`` and ``spans``: arrays of (start, kind, end)."""
     keyed = with_row_key(docs)
@@ -227,7 +255,7 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
         F.coalesce("extra", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")),
         lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])),
     )
-    return both.select("doc_id", "base", F.array_sort(F.concat("base", apart)).alias("spans"))
+    return both.select("doc_id", "base", F.array_sort(F.concat("base", joined(apart))).alias("spans"))
 
 
 def listed(spans: Column) -> Column:

@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from meterline.llm import bpe, fingerprints, language, licenses, secret_scan
+from meterline.llm.common import with_row_key
 
 SAMPLE = "/root/testdata/sf0.01/documents.parquet"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -167,6 +168,28 @@ def test_normal_tail(spark):
         assert abs(row.p - true) <= 2e-3 * true + 1e-12 or abs(row.p - true) < 1e-7
 
 
+def test_keys_glued_to_a_name_are_tested_by_themselves(spark):
+    rng = random.Random(11)
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    alnum = secret_scan.UPPER + secret_scan.LOWER + secret_scan.NUMBERS
+    keys = [draw(alnum, 32) for _ in range(4)] + [draw(alnum, 41), draw(alnum + "+/", 62) + "==", draw(alnum + "-_", 48)]
+    glued = [f"?sig={keys[0]}", f"/get_file/{keys[1]}", f"sk_live_{keys[2]}", f"key={keys[3]}&x", f"AWS_SECRET_ACCESS_KEY={keys[4]}"]
+    glued += [f"AccountKey={keys[5]};", f"/get/file/{keys[6]}"]
+    rows = [(i, f"é see {g} here", "en", "a") for i, g in enumerate(glued)] + [(50, "=" * 30 + "_" * 30 + "/", "en", "a")]
+    found = secret_scan.candidates(with_row_key(cases.frame(spark, rows))).collect()
+    assert all(r.encoding is not None for r in found)
+    assert set(keys) <= {r.token for r in found}
+    texts = {t: i for i, t, *_ in rows}
+    assert all(any(t[r.start : r.end] == r.token for t in texts) for r in found)
+    got = {x.doc_id: x for x in secret_scan.secret_report(cases.frame(spark, rows)).collect()}
+    assert got[50].n_random == 0
+    for i, key in enumerate(keys):
+        spans = [s.split(":") for s in got[i].spans.split(",") if s]
+        at = rows[i][1].index(key)
+        assert any(int(a) <= at and at + len(key) <= int(b) for _, a, b in spans), (i, got[i])
+        assert got[i].n_random == sum(k == "random" for k, _, _ in spans) <= 1
+
+
 def test_secret_scan_uses_no_python_and_stands_empty_tables(spark):
     assert secret_scan.secret_report(cases.empty(spark)).count() == 0
     assert fingerprints.fingerprint_report(cases.empty(spark)).count() == 0
