@@ -1,13 +1,20 @@
 """License scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance along directories.
 
-Every line of every text is compared, and every text as a whole, so a notice is found wherever it stands.
+Every line of every text is compared, every window of a template's number of terms wherever lines end, and every text as a
+whole, so a notice is found wherever it stands.
 
 1. Document frequencies of the templates' terms are counted over all documents (lines for the header weights, texts for the
    file weights); they number no more than the terms of the templates, whatever the corpus. A term that no template has
    weighs like one that no document has.
-2. The scan keeps, per text, the lines whose cosine to their best template is ``HEADER`` or more, with their span in code points,
-   and the text's own best template if its cosine is ``FILE_COSINE`` or more. Vectors are sparse: only terms that a template
-   has enter the products, all terms enter the norms.
+2. The scan scores, per text, its lines and windows. A template's window is as many terms as it has, at every place of the text
+   (the whole text where that is shorter). Dot products are differences of running sums, norms are advanced term by term. Lines and
+   windows of cosine ``HEADER`` or more are hits; of a template's windows that overlap, the best is kept, from its first
+   template term to its last. Hits go into spans best first: one that overlaps a span of its licence widens it, one with half or more
+   of it in spans of other licences is left out, any other is a span. Spans are in code points, by start, and those of different
+   licences may overlap at their edges. The text's own best template is kept if its cosine is ``FILE_COSINE`` or more. Vectors are
+   sparse: only terms that a template has enter the products, all terms enter the norms. A text is only scored against templates
+   that it can reach: by Cauchy-Schwarz no line or window has a higher cosine than the root of the summed squares of the
+   template's weights that occur in the text.
 3. A licence file is one named like one (``FILE_NAMES``) with a notice in it, or one that is a template's text as a whole. It
    licenses its directory. Directories, each only once, are joined to all their ancestors by path; the nearest one with
    a licence file is inherited. Then files are joined to their directory. A file's own notice comes first.
@@ -25,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,11 +162,91 @@ class Matcher:
         return dots[i] / math.sqrt(square), i
 
 
+class Windows:
+    """Cosine of every window of a text to templates of the window's number of terms."""
+
+    def __init__(self, templates: list[tuple[str, str]], total: int, having: dict[str, int]):
+        self.place = {t: i for i, t in enumerate(sorted(vocabulary(templates)))}
+        self.idf = np.array([math.log((1 + total) / (1 + having.get(t, 0))) + 1 for t in self.place])
+        self.unknown = math.log(1 + total) + 1
+        self.names = [name for name, _ in templates]
+        counted = [Counter(terms(text)) for _, text in templates]
+        self.lengths = [sum(c.values()) for c in counted]
+        self.weights = np.zeros((len(templates), len(self.place)))
+        for row, c in zip(self.weights, counted, strict=True):
+            for t, n in c.items():
+                row[self.place[t]] = n * self.idf[self.place[t]]
+            row /= np.sqrt((row * row).sum()) or 1.0
+        self.squares = self.weights**2
+
+    def reachable(self, words: list[str], least: float) -> np.ndarray:
+        """The templates that some part of the text may meet with cosine ``least``."""
+        known = [self.place[t] for t in self.place.keys() & set(words)]
+        return np.flatnonzero(self.squares[:, known].sum(axis=1) >= least * least - 1e-9)
+
+    def hits(self, words: list[str], least: float, reach: np.ndarray) -> list[tuple[float, int, int, int]]:
+        """(cosine, template, first term, last term) of the best windows of each template in ``reach``."""
+        own: dict[str, int] = {}
+        ids = np.array([own.setdefault(t, len(own)) for t in words], np.int64)
+        n, place = len(ids), np.array([self.place.get(t, -1) for t in own], np.int64)
+        square = np.where(place >= 0, self.idf[place], self.unknown) ** 2
+        order = np.argsort(ids, kind="stable")
+        keys = ids[order] * (n + 1) + order
+        rank = np.empty(n, np.int64)
+        rank[order] = np.arange(n)
+        norms: dict[int, np.ndarray] = {}
+        found = []
+        for i in reach.tolist():
+            size = min(self.lengths[i], n)
+            if size not in norms:
+                out, into = np.arange(n - size), np.arange(size, n)
+                leaving = np.searchsorted(keys, ids[out] * (n + 1) + out + size) - rank[out]  # how often the term is in the window
+                coming = rank[into] - np.searchsorted(keys, ids[into] * (n + 1) + into - size + 1)
+                step = square[ids[into]] * (2 * coming + 1) - square[ids[out]] * (2 * leaving - 1)
+                norms[size] = np.cumsum(np.concatenate([[(np.bincount(ids[:size]) ** 2 * square[: ids[:size].max() + 1]).sum()], step]))
+            weight = np.where(place >= 0, self.weights[i][place] * self.idf[place], 0.0)[ids]
+            sums = np.concatenate([[0.0], np.cumsum(weight)])
+            cosine = np.round((sums[size:] - sums[: n - size + 1]) / np.sqrt(np.maximum(norms[size], 1e-9)), 9)
+            left = np.flatnonzero(cosine >= least)
+            while len(left):
+                start = left[np.argmax(cosine[left])]
+                meant = start + np.flatnonzero(weight[start : start + size])
+                found.append((float(cosine[start]), i, int(meant[0]), int(meant[-1])))
+                left = left[np.abs(left - start) >= size]
+        return found
+
+
+def places(text: str) -> list[tuple[int, int]]:
+    """Start and end of every term, in code points of the text."""
+    low = text.lower()
+    found = [m.span() for m in _TERM.finditer(low)]
+    if len(low) == len(text):
+        return found
+    at = [i for i, c in enumerate(text) for _ in c.lower()]  # some letters have two in lower case
+    return [(at[a], at[b - 1] + 1) for a, b in found]
+
+
+def spans_of(hits: list[tuple[float, int, str, int, int]]) -> list[dict]:
+    """Spans of hits (cosine, 0 for a line and 1 for a window, licence, start, end), by start."""
+    spans: list[dict] = []
+    for cosine, _, name, start, end in sorted(hits, key=lambda h: (-round(h[0], 9), *h[1:])):
+        meets = [s for s in spans if s["start"] < end and start < s["end"]]
+        if 2 * sum(min(end, s["end"]) - max(start, s["start"]) for s in meets if s["license"] != name) >= max(end - start, 1):
+            continue
+        same = [s for s in meets if s["license"] == name]
+        best = same[0] if same else {"start": start, "end": end, "license": name, "cosine": cosine}
+        best["start"] = min([start, *(s["start"] for s in same)])
+        best["end"] = max([end, *(s["end"] for s in same)])
+        spans = [s for s in spans if not any(s is other for other in same)] + [best]
+        spans.sort(key=lambda s: -s["cosine"])
+    return sorted(spans, key=lambda s: (s["start"], s["end"], s["license"]))
+
+
 # --- notices --------------------------------------------------------------------------------------
 
 
 def notices(rows: DataFrame, templates: list[tuple[str, str]], header: float, file_cosine: float) -> DataFrame:
-    """``rows`` (row key, path, text) with ``found``: (start, end, license, cosine) per line, and the best whole match; stored."""
+    """``rows`` (row key, path, text) with ``found``: spans (start, end, license, cosine), and the best whole match; stored."""
     lines, whole, having = frequencies(rows.select("text"), vocabulary(templates))
     full = [(name, text) for name, text in templates if len(terms(text)) >= FULL_SIZE]
     line_weights = templates, lines, {t: n for t, (n, _) in having.items()}
@@ -167,17 +255,28 @@ def notices(rows: DataFrame, templates: list[tuple[str, str]], header: float, fi
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_line, by_text = Matcher(*line_weights), Matcher(*text_weights)
+        windows, texts = Windows(*line_weights), Windows(*text_weights)
+
+        def notice(text: str, words: list[str]) -> list[dict]:
+            reach = windows.reachable(words, header)
+            if not len(reach):
+                return []
+            hits, at = [], 0
+            for line in text.split("\n"):
+                cosine, i = by_line.best(line)
+                if cosine >= header:
+                    hits.append((cosine, 0, by_line.names[i], at, at + len(line)))
+                at += len(line) + 1
+            inside = windows.hits(words, header, reach)
+            spots = places(text) if inside else []
+            return spans_of(hits + [(cosine, 1, windows.names[i], spots[a][0], spots[b][1]) for cosine, i, a, b in inside])
+
         for batch in batches:
             found, names, cosines = [], [], []
             for text in batch.column(3).to_pylist():
-                spans, at = [], 0
-                for line in text.split("\n"):
-                    cosine, i = by_line.best(line)
-                    if cosine >= header:
-                        spans.append({"start": at, "end": at + len(line), "license": by_line.names[i], "cosine": cosine})
-                    at += len(line) + 1
-                cosine, i = by_text.best(text)
-                found.append(spans)
+                words = terms(text)
+                found.append(notice(text, words))
+                cosine, i = by_text.best(text) if len(texts.reachable(words, file_cosine)) else (0.0, -1)
                 names.append(by_text.names[i] if cosine >= file_cosine else None)
                 cosines.append(cosine if cosine >= file_cosine else None)
             yield pa.RecordBatch.from_arrays(

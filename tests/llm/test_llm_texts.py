@@ -319,6 +319,54 @@ def test_cosine_equals_brute_force():
         assert abs(matcher.best(line)[0] - best) < 1e-9
 
 
+def test_window_cosines_equal_brute_force():
+    templates = licenses.TEMPLATES
+    having = {t: len(t) for t in licenses.vocabulary(templates)}
+    windows, matcher = licenses.Windows(templates, 100, having), licenses.Matcher(templates, 100, having)
+    r = random.Random(3)
+    vocabulary = sorted(licenses.vocabulary(templates))[::9] + cases.WORDS[:5]
+    for n in (1, 4, 5, 30, 200):
+        words = [r.choice(vocabulary) for _ in range(n)] + licenses.terms(templates[r.randrange(len(templates))][1])
+        for i, (_, text) in enumerate(templates):
+            size = min(len(licenses.terms(text)), len(words))
+            alone = licenses.Matcher([templates[i]], 100, having)
+            alone.idf, alone.unknown = matcher.idf, matcher.unknown
+            best = max(alone.best(" ".join(words[s : s + size]))[0] for s in range(len(words) - size + 1))
+            got = windows.hits(words, 1e-6, np.array([i])) if best > 1e-6 else [(0.0,)]
+            assert abs(max(h[0] for h in got) - best) < 1e-6
+            assert i in windows.reachable(words, best) or best == 0
+
+
+def test_notices_inside_lines_and_across_line_ends(spark):
+    text = dict.fromkeys(n for n, _ in licenses.TEMPLATES)
+    text |= {n: t for n, t in licenses.TEMPLATES if len(licenses.terms(t)) >= licenses.FULL_SIZE}
+    wrap = lambda t, mark: "\n".join(mark + " ".join(t.split()[i : i + 9]) for i in range(0, len(t.split()), 9))
+    said = "Released under the MIT License"
+    around = cases.prose(1, 20), cases.prose(2, 13)
+    code = "\n\n" + "\n".join(f"def f{i}(x{i}): return x{i} + {i}" for i in range(200))
+    both = "Licensed under the MIT License or the Apache License, Version 2.0"
+    texts = [
+        f"{around[0]} İ {said}, {around[1]}",
+        f"{around[0]} Released under\n# the MIT\n# License. {around[1]}",
+        "import x\n" + wrap(text["GPL-3.0"], "# ") + code,
+        wrap(text["MIT"], " * ") + code,
+        f"{around[0]} {both} {around[1]}",
+        f"{around[0]} {around[1]}",
+    ]
+    # common words of the corpus, as in a real one
+    filler = [(100 + i, "the of and to in a or is for this that with as be by on any not\n" * 5 + cases.prose(i, 50)) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)) + filler, "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.license_scan(docs, F.lit(None).cast("string")).collect()}
+    spans = [[(n.license, texts[i][n.start : n.end]) for n in got[i].notices] for i in range(len(texts))]
+    assert spans[0] == [("MIT", said)]
+    assert spans[1] == [("MIT", "Released under\n# the MIT\n# License")]
+    assert [n for n, _ in spans[2]] == ["GPL-3.0"] and [n for n, _ in spans[3]] == ["MIT"]
+    assert licenses.terms(spans[2][0][1]) == licenses.terms(text["GPL-3.0"])
+    assert licenses.terms(spans[3][0][1]) == licenses.terms(text["MIT"])
+    assert {n for n, _ in spans[4]} == {"MIT", "Apache-2.0"}
+    assert spans[5] == [] and not any(got[100 + i].notices for i in range(60))
+
+
 def test_licence_scan_of_messy_and_empty_tables(spark):
     docs = cases.messy(spark)
     assert licenses.license_scan(docs, F.concat_ws("/", "source", "doc_id")).count() == docs.count()
