@@ -14,7 +14,9 @@ whole, so a notice is found wherever it stands.
    licences may overlap at their edges. The text's own best template is kept if its cosine is ``FILE_COSINE`` or more. Vectors are
    sparse: only terms that a template has enter the products, all terms enter the norms. A text is only scored against templates
    that it can reach: by Cauchy-Schwarz no line or window has a higher cosine than the root of the summed squares of the
-   template's weights that occur in the text.
+   template's weights that occur in the text. Texts as a whole are compared to the licences in ``license_texts/`` and to the
+   templates of ``FULL_SIZE`` terms or more; windows of a whole licence's length count as hits from ``FILE_COSINE`` on, with the
+   file weights. A licence without a text there is only known by its notices.
 3. A licence file is one named like one (``FILE_NAMES``) with a notice in it, or one that is a template's text as a whole. It
    licenses its directory. Directories, each only once, are joined to all their ancestors by path; the nearest one with
    a licence file is inherited. Then files are joined to their directory. A file's own notice comes first.
@@ -31,6 +33,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +92,9 @@ TEMPLATES: list[tuple[str, str]] = [
     ("Proprietary", "All rights reserved. Unauthorized copying of this file is strictly prohibited"),
 ]
 
+# The texts of whole licences, one file each, as published, without copyright lines.
+TEXTS = Path(__file__).with_name("license_texts")
+
 _TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
 
@@ -100,6 +106,10 @@ def vocabulary(templates: list[tuple[str, str]]) -> frozenset[str]:
     return frozenset(t for _, text in templates for t in terms(text))
 
 
+def licence_texts() -> list[tuple[str, str]]:
+    return [(path.stem, path.read_text(encoding="utf-8")) for path in sorted(TEXTS.glob("*.txt"))]
+
+
 # --- weights --------------------------------------------------------------------------------------
 
 
@@ -245,38 +255,39 @@ def spans_of(hits: list[tuple[float, int, str, int, int]]) -> list[dict]:
 # --- notices --------------------------------------------------------------------------------------
 
 
-def notices(rows: DataFrame, templates: list[tuple[str, str]], header: float, file_cosine: float) -> DataFrame:
+def notices(rows: DataFrame, templates: list[tuple[str, str]], texts: list[tuple[str, str]], header: float, file_cosine: float) -> DataFrame:
     """``rows`` (row key, path, text) with ``found``: spans (start, end, license, cosine), and the best whole match; stored."""
-    lines, whole, having = frequencies(rows.select("text"), vocabulary(templates))
-    full = [(name, text) for name, text in templates if len(terms(text)) >= FULL_SIZE]
+    lines, whole, having = frequencies(rows.select("text"), vocabulary(templates + texts))
+    full = texts + [(name, text) for name, text in templates if len(terms(text)) >= FULL_SIZE]
+    licences = len(texts)
     line_weights = templates, lines, {t: n for t, (n, _) in having.items()}
     text_weights = full, whole, {t: n for t, (_, n) in having.items()}
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("license", pa.string()), ("cosine", pa.float64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_line, by_text = Matcher(*line_weights), Matcher(*text_weights)
-        windows, texts = Windows(*line_weights), Windows(*text_weights)
+        by_window, by_long_window = Windows(*line_weights), Windows(*text_weights)
 
-        def notice(text: str, words: list[str]) -> list[dict]:
-            reach = windows.reachable(words, header)
-            if not len(reach):
-                return []
+        def notice(text: str, words: list[str], whole: np.ndarray) -> list[dict]:
+            reach, long = by_window.reachable(words, header), whole[whole < licences]
             hits, at = [], 0
-            for line in text.split("\n"):
+            for line in text.split("\n") if len(reach) else []:
                 cosine, i = by_line.best(line)
                 if cosine >= header:
                     hits.append((cosine, 0, by_line.names[i], at, at + len(line)))
                 at += len(line) + 1
-            inside = windows.hits(words, header, reach)
+            inside = [(by_window.names[i], c, a, b) for c, i, a, b in by_window.hits(words, header, reach)] if len(reach) else []
+            inside += [(by_long_window.names[i], c, a, b) for c, i, a, b in by_long_window.hits(words, file_cosine, long)] if len(long) else []
             spots = places(text) if inside else []
-            return spans_of(hits + [(cosine, 1, windows.names[i], spots[a][0], spots[b][1]) for cosine, i, a, b in inside])
+            return spans_of(hits + [(cosine, 1, name, spots[a][0], spots[b][1]) for name, cosine, a, b in inside])
 
         for batch in batches:
             found, names, cosines = [], [], []
             for text in batch.column(3).to_pylist():
                 words = terms(text)
-                found.append(notice(text, words))
-                cosine, i = by_text.best(text) if len(texts.reachable(words, file_cosine)) else (0.0, -1)
+                whole = by_long_window.reachable(words, file_cosine)
+                found.append(notice(text, words, whole))
+                cosine, i = by_text.best(text) if len(whole) else (0.0, -1)
                 names.append(by_text.names[i] if cosine >= file_cosine else None)
                 cosines.append(cosine if cosine >= file_cosine else None)
             yield pa.RecordBatch.from_arrays(
@@ -320,13 +331,18 @@ def inherited(files: DataFrame) -> DataFrame:
 
 
 def license_scan(
-    docs: DataFrame, path: Column, templates: list[tuple[str, str]] | None = None, header: float = HEADER, file_cosine: float = FILE_COSINE
+    docs: DataFrame,
+    path: Column,
+    templates: list[tuple[str, str]] | None = None,
+    header: float = HEADER,
+    file_cosine: float = FILE_COSINE,
+    texts: list[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, path, notices (spans), own_license, cosine, inherited_license, inherited_from, license."""
     keyed = with_row_key(docs)
     rows = keyed.select(*ROW, path.cast("string").alias("path"), whole_text().alias("text"))
     own, cosine = _own()
-    files = notices(rows, templates or TEMPLATES, header, file_cosine)
+    files = notices(rows, templates or TEMPLATES, licence_texts() if texts is None else texts, header, file_cosine)
     files = stored(files.select(*ROW, "path", directory(F.col("path")).alias("dir"), "found", "whole", own.alias("license"), cosine.alias("cosine")), "files")
     above = inherited(files).select("dir", F.col("license").alias("inherited_license"), F.col("from_dir").alias("inherited_from"))
     ids = keyed.select(*ROW, named("doc_id").cast("bigint").alias("doc_id"))

@@ -367,6 +367,37 @@ def test_notices_inside_lines_and_across_line_ends(spark):
     assert spans[5] == [] and not any(got[100 + i].notices for i in range(60))
 
 
+def test_whole_licence_files_are_known_and_inherited(spark):
+    texts = dict(licenses.licence_texts())
+    want = {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0"}
+    assert set(texts) == want
+    # by notice only, as the README says
+    assert {n for n, _ in licenses.TEMPLATES} - want == {"CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "Proprietary"}
+    code = "\n".join(f"def f{i}(x{i}): return x{i} + {i}" for i in range(6000))
+    rows = []
+    for i, (name, text) in enumerate(texts.items()):
+        flat = " ".join(text.split())
+        rows += [
+            (10 * i, f"{name}/LICENSE", f"Copyright 2020 Someone Else <me@example.org>\n\n{text}"),
+            (10 * i + 1, f"{name}/src/deep/x.py", "plain words"),
+            (10 * i + 2, f"{name}/one_line/terms.txt", f"(c) 2021 Somebody {flat}"),
+            (10 * i + 3, f"{name}/one_line/y.py", None),
+            (10 * i + 4, f"{name}/z.c", f"{text}\n{code}"),
+        ]
+    rows += [(1000 + i, None, "the of and to in a or is for this that with as be by on any not\n" * 5 + cases.prose(i, 50)) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, file string, text string")
+    got = {r.doc_id: r for r in licenses.license_scan(docs, F.col("file")).collect()}
+    for i, name in enumerate(texts):
+        assert [got[10 * i + k].own_license for k in range(4)] == [name, None, name, None], name
+        assert [got[10 * i + k].license for k in range(4)] == [name] * 4
+        assert [got[10 * i + k].inherited_from for k in (1, 3)] == [name, f"{name}/one_line"]
+        text = rows[5 * i + 4][2]
+        longest = max(got[10 * i + 4].notices, key=lambda n: n.end - n.start)
+        assert longest.license == name and got[10 * i + 4].own_license == name
+        assert longest.end - longest.start > 0.9 * len(texts[name].strip()) and longest.end <= len(texts[name]) + 200, (name, text[longest.end :][:50])
+    assert not any(got[1000 + i].license for i in range(100))
+
+
 def test_licence_scan_of_messy_and_empty_tables(spark):
     docs = cases.messy(spark)
     assert licenses.license_scan(docs, F.concat_ws("/", "source", "doc_id")).count() == docs.count()
