@@ -198,8 +198,9 @@ def taken_words(mixed: Mix) -> DataFrame:
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """The mix in the columns of ``docs``: one row for each unbroken run of words that a round takes of a document.
 
-    A text that is taken in full stays as it is, of others the words of the run are joined by one blank. ``n_chars``, where
-    there is one, is the length of the new text; all other columns are those of the document.
+    A text that is taken in full stays as it is. Of others the run is the part of the text from the start of its first word to the
+    end of its last one, with all white space between. ``n_chars``, where there is one, is the length of the new text; all other
+    columns are those of the document.
     """
     keyed = with_row_key(docs)
     mixed = mix(keyed, weights, share, most, block, shard)
@@ -211,13 +212,16 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     found = found.select(*ROW, "__runs", F.col("size").alias("__size"))
     partly = F.exists("__runs", lambda r: r["__to"] - r["__from"] < F.col("__size"))
     words = F.when(partly, F.regexp_extract_all(whole_text(), F.lit(f"({WORD})")))
+    gaps = F.slice(F.split(whole_text(), WORD, -1), F.lit(2), F.size("__words"))  # the white space behind each word
 
     def text(run: Column) -> Column:
         length = run["__to"] - run["__from"]
-        part = F.array_join(F.slice("__words", (run["__from"] + 1).cast("int"), length.cast("int")), " ")
+        spaced = F.array_join(F.slice("__spaced", (run["__from"] + 1).cast("int"), (length - 1).cast("int")), "")
+        part = F.concat(spaced, F.element_at("__words", run["__to"].cast("int")))
         return F.when(length == F.col("__size"), F.col("__text")).otherwise(part)
 
     rows = keyed.join(found, ROW).withColumn("__words", words).withColumn("__text", whole_text())
+    rows = rows.withColumn("__spaced", F.when(F.col("__words").isNotNull(), F.zip_with("__words", gaps, lambda w, g: F.concat(w, g))))
     rows = rows.withColumn("text", F.explode(F.transform("__runs", text)))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

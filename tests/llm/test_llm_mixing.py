@@ -115,6 +115,18 @@ def test_mixed_documents(spark, rows):
         assert abs(taken[source] - want[source]) <= 1.5 * mixing.BLOCK
 
 
+def test_runs_are_exact_parts_of_the_text(spark):
+    wide = lambda i: "".join(f"  w{i}_{k}" + ["\n\n    ", "\t", " ", "\r\n"][k % 4] for k in range(40 + 7 * i))
+    rows = [(i, wide(i), "en", ["a", "b", "c"][i % 3]) for i in range(60)]
+    got = mixing.mixed_documents(cases.frame(spark, rows)).collect()
+    texts = {d: t for d, t, *_ in rows}
+    parts = [r for r in got if r.text != texts[r.doc_id]]
+    assert len(parts) > 20
+    for r in parts:
+        assert r.text in texts[r.doc_id] and r.text == r.text.strip(), r
+        assert r.n_chars == len(r.text)
+
+
 def test_empty(spark):
     assert mixing.taken_words(mixing.mix(cases.empty(spark))).count() == 0
     assert mixing.mixed_documents(cases.empty(spark)).count() == 0
