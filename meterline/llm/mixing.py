@@ -54,13 +54,14 @@ class Mix:
 
 
 def sized(keyed: DataFrame) -> DataFrame:
-    """Row key, doc_id, source and number of words of every document."""
+    """Row key, doc_id, source, number of words and digest of every document."""
     return stored(
         keyed.select(
             *ROW,
             F.col("doc_id").cast("bigint").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             F.regexp_count(whole_text(), F.lit(WORD)).cast("bigint").alias("size"),
+            F.unhex(F.sha2(whole_text().cast("binary"), 256)).alias("digest"),
         ),
         "sizes",
     )
@@ -96,7 +97,7 @@ def shares(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int =
 def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     """The documents with ``rank`` of their source and ``first``: where they begin in its run of words."""
     chunks = max(1, -(-sizes.count() // CHUNK))
-    order = F.xxhash64(F.lit("order"), "doc_id", ROW[1])  # the position tells rows apart that repeat a doc_id
+    order = F.xxhash64(F.lit("order"), "doc_id", "digest")  # the text tells rows apart that repeat a doc_id
     known = F.broadcast(sources.select("source", "rank")) if sources.count() <= CHUNK else sources.select("source", "rank")
     rows = sizes.join(known, sizes["source"].eqNullSafe(known["source"])).drop(known["source"])
     rows = rows.withColumn("order", order)
@@ -104,9 +105,9 @@ def placed(sizes: DataFrame, sources: DataFrame) -> DataFrame:
     sums = rows.groupBy("rank", "chunk").agg(F.sum("size").alias("words"))
     up_to = Window.partitionBy("rank").orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     starts = stored(sums.withColumn("chunk_first", F.sum("words").over(up_to) - F.col("words")).drop("words"), "chunks")
-    within = Window.partitionBy("rank", "chunk").orderBy("order", "doc_id", *ROW).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("rank", "chunk").orderBy("order", "doc_id", "digest", *ROW).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     laid = rows.withColumn("inner", F.sum("size").over(within) - F.col("size")).join(starts, ["rank", "chunk"])
-    return stored(laid.withColumn("first", F.col("chunk_first") + F.col("inner")).drop("chunk", "chunk_first", "inner", "order"), "placed")
+    return stored(laid.withColumn("first", F.col("chunk_first") + F.col("inner")).drop("chunk", "chunk_first", "inner", "order", "digest"), "placed")
 
 
 def permuted(index: Column, size: Column, *key: Column) -> Column:

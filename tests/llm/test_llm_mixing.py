@@ -127,6 +127,15 @@ def test_runs_are_exact_parts_of_the_text(spark):
         assert r.n_chars == len(r.text)
 
 
+def test_the_mix_does_not_depend_on_the_files(spark, rows, tmp_path):
+    docs = cases.frame(spark, rows + [(1000, "a second text of this id " * 30, "en", "a"), (None, "no id " * 40, "en", "b")])
+    docs.repartition(7, "text").sortWithinPartitions("n_chars").write.parquet(f"{tmp_path}/a")
+    docs.coalesce(1).orderBy(F.col("text").desc()).write.parquet(f"{tmp_path}/b")
+    key = lambda r: (r.doc_id, r.source, r.text)
+    one, other = (Counter(map(key, mixing.mixed_documents(spark.read.parquet(f"{tmp_path}/{k}")).collect())) for k in "ab")
+    assert one == other
+
+
 def test_empty(spark):
     assert mixing.taken_words(mixing.mix(cases.empty(spark))).count() == 0
     assert mixing.mixed_documents(cases.empty(spark)).count() == 0
