@@ -5,7 +5,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from helpers import rows
 from meterline.jobs import batch_report, ingest, monthly_etl
 from meterline.plans.marts import dim_zones
 from meterline.schemas import DOUBLE, GREEN_RAW, INT, LONG, TEXT, YELLOW_RAW, ZONES, struct

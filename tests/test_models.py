@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from meterline.jobs.build_layers import MODELS, Context, build, run_tests, selection
 from meterline.operators.quality import QualityError
 from meterline.plans import analytics, marts, platform, staging

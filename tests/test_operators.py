@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from meterline.operators import profile
 from meterline.operators.joins import join_null_safe, unmatched_keys
 from meterline.operators.percentiles import exact_percentiles

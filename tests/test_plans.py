@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from meterline.queries import REGISTRY
 from meterline.sinks.tables import time_slice, write_clustered
 from meterline.sources.sample import raw_trips

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from meterline.jobs.quality_run import monthly_suite
 from meterline.operators import quality as dq
 

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from meterline.jobs import stream_run
 from meterline.session import streaming_session
 from meterline.sources import messages
