@@ -5,17 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm.bpe import encode_documents
 from meterline.llm.chat import format_conversations, read_back
-from meterline.llm.common import table
+from meterline.llm.common import BLANK, table, whole_text
 from meterline.llm.exact_dedup import exact_dedup
+from meterline.llm.fertility import fertility_report
 from meterline.llm.fingerprints import fingerprint_report
 from meterline.llm.language import identify
 from meterline.llm.licenses import license_scan
 from meterline.llm.mixing import mix, taken_words
+from meterline.llm.periods import periodic_runs
 from meterline.llm.quality import quality_report
 from meterline.llm.secret_scan import secret_report
 from meterline.llm.simhash import simhash_classes
@@ -148,3 +150,47 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "path", F.array_join(spans, ",").alias("notices"), "own_license", "cosine", "inherited_license", "inherited_from", "license"
     )
+
+
+FERTILITY_VOCABULARIES = ["byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken", "piece_bpe_32k.model"]
+
+
+@register("op11_tokeniser_fertility")
+def op11_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility_report(table(spark, sf_dir, "documents"), [public_tokenizers.path(name) for name in FERTILITY_VOCABULARIES])
+
+
+def with_planted_period() -> Column:
+    """The text, its tail made periodic for the documents whose crc32 of the doc_id ends in 0."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    text, g = whole_text(), F.floor(crc / 10)
+
+    def tail(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        told = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
+        return F.when(n > 0, F.array_join(told, " ")).otherwise(text)
+
+    # Bound to a name by the outer function, the words are split once per text.
+    words = F.filter(F.split(text, f"{BLANK}+", -1), lambda w: w != "")
+    return F.when(crc % 10 == 0, F.transform(F.array(words), tail)[0]).otherwise(text)
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(table(spark, sf_dir, "documents"), with_planted_period())
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    # Runs are sorted by start, then period, so the least of these is the longest with the smallest start and period.
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shortness"), r["start"].alias("start"), r["period"].alias("period"))))
+    length = -best["shortness"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        length.alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * length / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
