@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -19,6 +20,7 @@ from meterline.llm.licenses import license_scan
 from meterline.llm.mixing import mix, taken_words
 from meterline.llm.periods import periodic_runs
 from meterline.llm.quality import quality_report
+from meterline.llm.repair import audits
 from meterline.llm.secret_scan import secret_report
 from meterline.llm.simhash import simhash_classes
 from meterline.session import pin_settings
@@ -194,3 +196,22 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults planted by the crc32 of ``conv_id:turn``; nulls are one blank."""
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    code = F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn")).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", told("role").alias("role"), told("text").alias("text"), code.alias("code")).where("code != 0")
+    text = F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(F.col("code") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+    return rows.select("conv_id", "turn", F.when(F.col("code") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies).drop("copy")
+
+
+@register("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    found = audits(damaged(given)).drop("states").withColumnRenamed("conv_id", "__id")
+    ids = given.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    both = ids.join(found, F.col("conv_id").eqNullSafe(F.col("__id")), "left").drop("__id")
+    return both.na.fill({"audit": "", "repaired_sha256": hashlib.sha256().hexdigest()}).na.fill(0, ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"])
