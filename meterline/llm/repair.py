@@ -85,21 +85,29 @@ class Node:
         return "".join(node.letter for node in self.path())
 
 
+def _verified(x: Node, y: Node) -> tuple[Node, Node] | None:
+    """The first edits in which two prefixes of one depth differ, if they do; walks back no further than to the node they share."""
+    first = None
+    while x is not y:
+        if x.letter != y.letter:
+            first = (x, y)
+        x, y = x.up[0], y.up[0]
+    return first
+
+
 def before(a: Node, b: Node) -> bool:
     """Whether the audit of ``a`` is less than that of ``b``."""
     depth = min(a.depth, b.depth)
     x, y = a.at(depth), b.at(depth)
     if x.hash == y.hash:
-        if x is y or x.audit() == y.audit():
-            return a.depth < b.depth
-        return x.audit() < y.audit()
+        first = _verified(x, y)
+        return first[0].letter < first[1].letter if first else a.depth < b.depth
     for k in reversed(range(len(x.up))):
         if k < len(x.up) and x.up[k].hash != y.up[k].hash:
             x, y = x.up[k], y.up[k]
-    p, q = x.up[0], y.up[0]
-    if p is not q and p.audit() != q.audit():  # their hashes collide
-        return p.audit() < q.audit()
-    return x.letter < y.letter
+    # Equal hashes from here on up: what they say is checked, a collision is only a longer way to the first difference.
+    first = _verified(x.up[0], y.up[0]) or (x, y)
+    return first[0].letter < first[1].letter
 
 
 # --- the programme --------------------------------------------------------------------------------
