@@ -5,24 +5,33 @@ group holding a third of the rows would break. Here the work goes in steps:
 
 1. count equal values per group (map-side combined, spread over group and value);
 2. cut each group's distinct values into ranges of similar size with a mergeable sketch;
-3. add up the ranges to learn which of them hold the wanted ranks;
-4. sort only those ranges, each on its own, and read the values off.
+3. add up the ranges to learn which of them hold the wanted ranks, and keep the values of those;
+4. cut what is kept again, and again, until no range has more than ``RANGE_ROWS`` values;
+5. sort only those ranges, each on its own, and read the values off.
 
-The sketch only balances the ranges. The ranks are exact whatever it returns.
+The sketch only balances the ranges. The ranks are exact whatever it returns. All groups and shares are narrowed in
+one loop; each round keeps about a sixty-fourth of its rows per wanted rank, so rounds after the first are cheap. What a
+round keeps is written to the shared folder: the loop looks at one number per round, and no step is computed twice.
 
-Steps 2 to 4 all start from the counts of step 1. Measures travel in arrays so that column pruning
+Many columns of a wide table have their own way, ``column_percentiles``: sketches of all columns in one aggregate, the ranks
+of their bounds in a second one, and only values between the bounds leave the scan, counted before the shuffle.
+
+Steps 2 and 3 start from the counts of step 1. Measures travel in arrays so that column pruning
 leaves every use of the counts alike and Spark runs the scan and its shuffle once.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.operators.joins import join_null_safe
+from meterline.session import run_dir
 
+RANGE_ROWS = 100_000
 RANGES = 64
 POINTS = [i / RANGES for i in range(1, RANGES)]
 EXACT = "decimal(38,6)"
@@ -37,6 +46,13 @@ def _inside(rank: Column, start: str, size: str) -> Column:
     return (rank >= F.col(start)) & (rank < F.col(start) + F.col(size))
 
 
+def _kept(df: DataFrame) -> DataFrame:
+    """Write a step to the shared folder and read it back."""
+    path = run_dir(df.sparkSession, "ranks")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _number_ranges(df: DataFrame) -> DataFrame:
     """Number of cuts below the value, by quartering the cut list."""
     df = df.withColumn("_range", F.lit(0))
@@ -88,11 +104,55 @@ def exact_percentiles(
     sizes = sizes.withColumns(
         {"_before": F.sum("_size").over(upto) - F.col("_size"), "value_count": F.col("value_count").cast("bigint")}
     )
-    ranks = sorted({(share, upper) for share in shares.values() for upper in (False, True)})
-    wanted = reduce(lambda a, b: a | b, [_inside(_rank(*r), "_before", "_size") for r in ranks])
-    hits = sizes.where(wanted).drop("_size")
+    hits = sizes.where(_wanted(shares)).drop("_size")
+    narrowed = _kept(join_null_safe(placed.select(*keys, "_range", "_value", "_n"), hits, [*keys, "_range"]))
+    return _read_off(narrow(narrowed, keys, shares), keys, shares, list(facts))
+
+
+def _ranks(shares: dict[str, float]) -> list[tuple[float, bool]]:
+    return sorted({(share, upper) for share in shares.values() for upper in (False, True)})
 
-    narrowed = join_null_safe(placed.select(*keys, "_range", "_value", "_n"), hits, [*keys, "_range"])
+
+def _wanted(shares: dict[str, float]) -> Column:
+    """Whether the range of ``_size`` rows after the first ``_before`` ones holds a wanted rank."""
+    return reduce(lambda a, b: a | b, [_inside(_rank(*r), "_before", "_size") for r in _ranks(shares)])
+
+
+def narrow(values: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    """Cut the ranges that hold wanted ranks until none has more than ``RANGE_ROWS`` values.
+
+    ``values`` has one row per group, ``_range`` and ``_value`` with ``_n`` (times it occurs), ``_before`` (rows of the
+    group below the range) and ``value_count``; other columns are facts of the group. A range may be any stretch of the group's order.
+    """
+    while True:
+        sizes = values.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+        largest = sizes.agg(F.max("_rows")).first()[0]  # one number
+        if largest is None or largest <= RANGE_ROWS:
+            return values
+        values = _kept(_narrower(values, keys, shares))
+
+
+def _narrower(values: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    """One round: every range cut into ``RANGES`` of similar size, of which those with a wanted rank stay."""
+    old = [*keys, "_range"]
+    facts = [c for c in values.columns if c not in {*old, "_value", "_n", "_before"}]
+    cuts = values.groupBy(*old).agg(F.percentile_approx("_value", POINTS, 1000).alias("_facts"))
+    placed = join_null_safe(values.withColumnRenamed("_range", "_old"), cuts.withColumnRenamed("_range", "_old"), [*keys, "_old"])
+    placed = _number_ranges(placed)
+    sizes = placed.groupBy(*keys, "_old", "_range").agg(
+        F.sum("_n").alias("_size"), F.max("_before").alias("_before"), *[F.max(f).alias(f) for f in facts]
+    )
+    upto = Window.partitionBy(*keys, "_old").orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = sizes.withColumn("_before", F.col("_before") + F.sum("_size").over(upto) - F.col("_size"))
+    hits = sizes.where(_wanted(shares)).drop("_size", *facts).withColumnRenamed("_before", "_below")
+    kept = join_null_safe(placed.drop("_before", "_facts"), hits, [*keys, "_old", "_range"])
+    # Ranges of a group are told apart by the rows below them.
+    return kept.select(*keys, F.col("_below").alias("_range"), "_value", "_n", F.col("_below").alias("_before"), *facts)
+
+
+def _read_off(narrowed: DataFrame, keys: list[str], shares: dict[str, float], facts: list[str]) -> DataFrame:
+    """The percentiles from the ranges that hold their ranks, each sorted on its own."""
+    ranks = _ranks(shares)
     in_range = (
         Window.partitionBy(*keys, "_range")
         .orderBy("_value")
@@ -111,3 +171,71 @@ def exact_percentiles(
 
     out = found.where(F.col("value_count").isNotNull())
     return out.select(*keys, *[at(share).alias(name) for name, share in shares.items()], *facts)
+
+
+# Distance of the bounds from a wanted share, and the accuracy of the sketch that sets them.
+REACH, ACCURACY = 0.002, 1000
+
+
+def column_percentiles(df: DataFrame, columns: list[str], shares: dict[str, float], facts: dict[str, dict]) -> DataFrame:
+    """One row per column with a value: ``column_name`` and the percentiles, exactly, in three scans of the wide table.
+
+    ``facts`` has ``value_count``, ``min_value`` and ``max_value`` of every column and, per share, ``bounds``: a value below and one above the
+    percentile (``column_facts`` makes them). Bounds that miss their rank are moved out to the ends, so they only cost time.
+    Nothing is multiplied by the number of columns but the few values between bounds.
+    """
+    names = list(shares)
+    spots = [(c, k) for c in columns if facts[c]["value_count"] for k in range(len(names))]
+    if not spots:
+        return df.sparkSession.createDataFrame([], ", ".join(["column_name string", *(f"`{n}` double" for n in names)]))
+    value = lambda c: F.col(c).cast("double")
+    bounds = {(c, k): facts[c]["bounds"][k] for c, k in spots}
+    counts = df.agg(
+        *[F.struct(F.count_if(value(c) < F.lit(lo)).alias("lo"), F.count_if(value(c) <= F.lit(hi)).alias("hi")).alias(f"_{i}") for i, ((c, k), (lo, hi)) in enumerate(bounds.items())]
+    ).first()  # two numbers per column and share
+    held = []
+    for i, (c, k) in enumerate(spots):
+        n, (lo, hi), below, upto = facts[c]["value_count"], bounds[c, k], counts[i]["lo"], counts[i]["hi"]
+        low, high = math.floor(shares[names[k]] * (n - 1)), math.ceil(shares[names[k]] * (n - 1))
+        if below > low:
+            lo, below = facts[c]["min_value"], 0
+        if upto <= high:
+            hi = facts[c]["max_value"]
+        inside = value(c).between(F.lit(lo), F.lit(hi))
+        spot = F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("_range"), value(c).alias("_value"), F.lit(below).cast("bigint").alias("_before"), F.lit(n).cast("bigint").alias("value_count"))
+        held.append(F.when(inside, spot))
+    hits = df.select(F.explode(F.array_compact(F.array(*held))).alias("h")).select("h.*")
+    counted = hits.groupBy("column_name", "_range", "_value", "_before", "value_count").agg(F.count(F.lit(1)).alias("_n"))
+    found = None
+    # A share's own range is looked at for its own rank only.
+    counted = _kept(counted)
+    for k, name in enumerate(names):
+        mine = {name: shares[name]}
+        part = narrow(counted.where(F.col("_range") == k), ["column_name"], mine)
+        part = _read_off(part, ["column_name"], mine, ["value_count"]).select("column_name", name)
+        found = part if found is None else found.join(part, "column_name")
+    return found
+
+
+def column_facts(df: DataFrame, columns: list[str], shares: dict[str, float]) -> dict[str, dict]:
+    """Count, mean, deviation, ends and bounds of the percentiles of every column: one scan, one row, one entry per column."""
+    points = [p for share in shares.values() for p in (max(share - REACH, 0.0), min(share + REACH, 1.0))]
+
+    def of(c: str) -> Column:
+        v = F.col(c).cast("double")
+        return F.struct(
+            F.count(v).alias("value_count"),
+            F.avg(v).alias("mean_value"),
+            F.stddev(v).alias("std_value"),
+            F.min(v).alias("min_value"),
+            F.max(v).alias("max_value"),
+            F.percentile_approx(v, points, ACCURACY).alias("points"),
+        ).alias(c)
+
+    row = df.agg(*[of(c) for c in columns]).first()
+    out = {}
+    for i, c in enumerate(columns):
+        facts = row[i].asDict()
+        points = facts.pop("points")
+        out[c] = facts | {"bounds": list(zip(points[::2], points[1::2])) if points else []}
+    return out

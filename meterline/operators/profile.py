@@ -11,35 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions.numbers import rounded
-from meterline.operators.percentiles import exact_percentiles
+from meterline.operators.percentiles import column_facts, column_percentiles, exact_percentiles
 
 
-def long_form(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per (column, value)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
-    return df.select(F.explode(pairs).alias("pair")).select("pair.column_name", "pair.value")
+QUARTILES = {"q25_value": 0.25, "q50_value": 0.5, "q75_value": 0.75}
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per column."""
-    facts = df.agg(
-        *[
-            F.struct(
-                F.count(c).alias("value_count"),
-                F.avg(F.col(c).cast("double")).alias("mean_value"),
-                F.stddev(F.col(c).cast("double")).alias("std_value"),
-                F.min(F.col(c).cast("double")).alias("min_value"),
-                F.max(F.col(c).cast("double")).alias("max_value"),
-            ).alias(c)
-            for c in columns
-        ]
-    )
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("f")) for c in columns])
-    moments = facts.select(F.explode(rows).alias("r")).select("r.column_name", "r.f.*")
-    quartiles = exact_percentiles(
-        long_form(df, columns), ["column_name"], "value", {"q25_value": 0.25, "q50_value": 0.5, "q75_value": 0.75}
-    )
-    return moments.join(quartiles.select("column_name", "q25_value", "q50_value", "q75_value"), "column_name", "left")
+    """Count, mean, sample deviation, minimum, quartiles and maximum per column, NULL quartiles where there is no value.
+
+    The table is read wide: no row is repeated per column. What reaches the driver is one row of figures per column.
+    """
+    facts = column_facts(df, columns, QUARTILES)
+    names = ["value_count", "mean_value", "std_value", "min_value", "max_value"]
+    rows = [(c, *(facts[c][n] for n in names)) for c in columns]
+    schema = "column_name string, value_count long, mean_value double, std_value double, min_value double, max_value double"
+    moments = df.sparkSession.createDataFrame(rows, schema)
+    return moments.join(column_percentiles(df, columns, QUARTILES, facts), "column_name", "left")
 
 
 def missing_values(df: DataFrame) -> DataFrame:

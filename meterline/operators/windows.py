@@ -61,28 +61,46 @@ def batch_hop(
     )
 
 
+# Panes that one task sessionizes: a key's history is cut into blocks of so many.
+BLOCK_PANES = 4096
+
+
 def batch_sessions(df: DataFrame, gap_seconds: int, keys: list[str], time: str = TIME) -> DataFrame:
     """Sessions with their event count; a pause of exactly the gap does not end one.
 
     Events closer than the gap always share a session, so events are first folded into panes one
-    gap wide. A session can only break between panes, and the panes of a key are bounded by the
-    time covered divided by the gap.
+    gap wide. A session can only break between panes. Time is cut into blocks of ``BLOCK_PANES`` panes, and every block of a
+    key is sessionized alone. Only its first and last session can go on in another block, so two rows per block and key at
+    most meet to be stitched, in order, into chains; a chain is one session however many blocks it covers. All other sessions are done.
     """
     gap = gap_seconds * 1_000_000
     micros = F.unix_micros(time)
     panes = df.groupBy(F.floor(micros / F.lit(gap)).cast("bigint").alias("_pane"), *keys).agg(
         F.min(micros).alias("_first"), F.max(micros).alias("_last"), F.count(F.lit(1)).alias("_n")
     )
-    order = Window.partitionBy(*keys).orderBy("_pane")
-    breaks = F.coalesce(F.col("_first") - F.lag("_last").over(order) > gap, F.lit(True))
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = panes.withColumn("_new", breaks.cast("int")).withColumn("_session", F.sum("_new").over(running))
-    merged = numbered.groupBy(*keys, "_session").agg(
-        F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("num_trips")
-    )
+    local = _numbered(panes.withColumn("_block", F.floor(F.col("_pane") / F.lit(BLOCK_PANES))), [*keys, "_block"], gap)
+    of_block = Window.partitionBy(*keys, "_block")
+    local = local.withColumn("_last_session", F.max("_session").over(of_block))
+    parts = _merged(local, [*keys, "_block", "_last_session"])
+    # Edge sessions of all blocks of a key share one partition, the others stay with their block, where nothing joins them.
+    edge = F.col("_session").isin(1) | (F.col("_session") == F.col("_last_session"))
+    parts = parts.withColumn("_block", F.when(~edge, F.col("_block"))).drop("_session", "_last_session")
+    merged = _merged(_numbered(parts, [*keys, "_block"], gap), [*keys, "_block"])
     return merged.select(
         F.timestamp_micros("_first").alias("window_start"),
         F.timestamp_micros(F.col("_last") + gap).alias("window_end"),
         *keys,
-        "num_trips",
+        F.col("_n").alias("num_trips"),
     )
+
+
+def _numbered(stretches: DataFrame, keys: list[str], gap: int) -> DataFrame:
+    """Add ``_session``: stretches of time (``_first``, ``_last``) no further apart than the gap get one number per key."""
+    order = Window.partitionBy(*keys).orderBy("_first")
+    breaks = F.coalesce(F.col("_first") - F.lag("_last").over(order) > gap, F.lit(True))
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return stretches.withColumn("_new", breaks.cast("int")).withColumn("_session", F.sum("_new").over(running)).drop("_new")
+
+
+def _merged(stretches: DataFrame, keys: list[str]) -> DataFrame:
+    return stretches.groupBy(*keys, "_session").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n"))

@@ -6,8 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from helpers import rows
-from meterline.operators import profile
+from helpers import plan_of, rows
+from meterline.operators import percentiles, profile, windows
 from meterline.operators.joins import join_null_safe, unmatched_keys
 from meterline.operators.percentiles import exact_percentiles
 from meterline.operators.ranking import extreme_days, share_of_total, top_n
@@ -167,3 +167,82 @@ def test_global_session_spans_keys(spark):
 def test_batch_hop_needs_whole_steps(spark):
     with pytest.raises(ValueError):
         batch_hop(events(spark, [(1, 0, 1)]), 1000, 300, [], {"n": F.lit(1)})
+
+
+def test_percentiles_are_narrowed_until_ranges_are_small(spark, monkeypatch):
+    """Many groups and shares in one loop; a range of one value that fills half a group can't be cut and needn't be."""
+    monkeypatch.setattr(percentiles, "RANGE_ROWS", 3)
+    rounds, narrower = [], percentiles._narrower
+
+    def counted(values, keys, shares):
+        rounds.append(values.count())
+        return narrower(values, keys, shares)
+
+    monkeypatch.setattr(percentiles, "_narrower", counted)
+    rng = np.random.default_rng(8)
+    data = {"a": rng.normal(0, 9, 6000).tolist(), "b": [5.0] * 900 + rng.uniform(0, 10, 900).tolist(), None: rng.uniform(-1, 1, 2500).tolist(), "one": [1.5]}
+    pairs = [(g, float(v)) for g, values in data.items() for v in values]
+    check_percentiles(spark.createDataFrame(pairs, "g string, v double").repartition(5), data)
+    assert rounds and rounds == sorted(rounds, reverse=True) and rounds[0] < sum(map(len, data.values()))
+
+
+@pytest.mark.parametrize("rows_at_most", [2, 100_000])
+def test_describe_from_the_wide_table(spark, monkeypatch, rows_at_most):
+    monkeypatch.setattr(percentiles, "RANGE_ROWS", rows_at_most)
+    rng = np.random.default_rng(2)
+    n = 5000
+    columns = {
+        "smooth": rng.normal(0, 1, n), "heavy": np.where(rng.random(n) < 0.6, 7.0, rng.random(n)), "steps": rng.integers(0, 4, n).astype(float),
+        "same": np.full(n, 2.5), "holes": np.where(rng.random(n) < 0.9, np.nan, rng.random(n)),
+    }
+    cells = zip(*[[None if np.isnan(x) else float(x) for x in v] for v in columns.values()])
+    df = spark.createDataFrame([(*c, None) for c in cells], ", ".join(f"{c} double" for c in columns) + ", void double").repartition(6)
+    got = {r.column_name: r for r in profile.describe(df, df.columns).collect()}
+    assert got.keys() == {*columns, "void"}
+    for name, values in columns.items():
+        kept = values[~np.isnan(values)]
+        quartiles = [got[name].q25_value, got[name].q50_value, got[name].q75_value]
+        assert quartiles == pytest.approx(np.quantile(kept, [0.25, 0.5, 0.75]).tolist(), rel=1e-12)
+        assert (got[name].value_count, got[name].min_value, got[name].max_value) == (kept.size, kept.min(), kept.max())
+    assert got["void"].value_count == 0 and got["void"].q50_value is None
+
+
+def test_bounds_that_miss_are_moved_out(spark):
+    df = spark.range(1, 1002).select(F.col("id").cast("double").alias("v"))
+    facts = percentiles.column_facts(df, ["v"], {"m": 0.5})
+    for bounds in ((600.0, 700.0), (1.0, 2.0), (501.0, 501.0)):
+        facts["v"]["bounds"] = [bounds]
+        assert percentiles.column_percentiles(df, ["v"], {"m": 0.5}, facts).first().m == 501.0
+
+
+def test_describe_shuffles_only_values_near_the_ranks(spark):
+    df = spark.range(100_000).select(*[(F.hash("id", F.lit(i)) * 1.0).alias(f"c{i}") for i in range(6)])
+    facts = percentiles.column_facts(df, df.columns, profile.QUARTILES)
+    inside = sum(df.where(F.col(c).between(*map(F.lit, b))).count() for c in df.columns for b in facts[c]["bounds"])
+    assert inside < 0.02 * 600_000
+    assert profile.describe(df, df.columns).count() == 6
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 4096])
+def test_sessions_over_blocks(spark, monkeypatch, block):
+    """Chains over many blocks, blocks with one session, empty blocks, times before 1970."""
+    monkeypatch.setattr(windows, "BLOCK_PANES", block)
+    rng = np.random.default_rng(block)
+    seconds = np.concatenate([np.arange(0, 9000, 290), 20_000 + np.cumsum(rng.integers(1, 700, 200)), -np.cumsum(rng.integers(1, 900, 60)) - 60 * 86400 * 365 * 9])
+    df = events(spark, [(int(k), int(s), 1) for k, s in zip(rng.integers(1, 3, seconds.size), seconds)])
+    count = {"num_trips": F.count(F.lit(1))}
+    assert rows(batch_sessions(df, 300, ["PULocationID"])) == rows(sessions(df, "5 minutes", ["PULocationID"], count))
+    everything = df.withColumn("all", F.lit(1))
+    want = rows(sessions(everything, "5 minutes", ["all"], count).drop("all"))
+    assert rows(batch_sessions(df, 300, [])) == want
+
+
+def test_only_block_summaries_meet_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(windows, "BLOCK_PANES", 16)
+    df = events(spark, [(1, 600 * i, 1) for i in range(4000)])
+    found = batch_sessions(df, 300, [])
+    assert found.count() == 4000
+    plan = plan_of(found)
+    assert "SinglePartition" not in plan
+    windows_of = [line for line in plan.splitlines() if line.startswith("Arguments: [") and "windowspecdefinition" in line]
+    assert windows_of and all("_block" in line.split("windowspecdefinition(")[1] for line in windows_of)
