@@ -181,40 +181,53 @@ def column_percentiles(df: DataFrame, columns: list[str], shares: dict[str, floa
     """One row per column with a value: ``column_name`` and the percentiles, exactly, in three scans of the wide table.
 
     ``facts`` has ``value_count``, ``min_value`` and ``max_value`` of every column and, per share, ``bounds``: a value below and one above the
-    percentile (``column_facts`` makes them). Bounds that miss their rank are moved out to the ends, so they only cost time.
+    percentile (``column_facts`` makes them). Where bounds miss a rank, the whole column is looked at, so they only cost time.
     Nothing is multiplied by the number of columns but the few values between bounds.
     """
-    names = list(shares)
-    spots = [(c, k) for c in columns if facts[c]["value_count"] for k in range(len(names))]
-    if not spots:
-        return df.sparkSession.createDataFrame([], ", ".join(["column_name string", *(f"`{n}` double" for n in names)]))
     value = lambda c: F.col(c).cast("double")
-    bounds = {(c, k): facts[c]["bounds"][k] for c, k in spots}
-    counts = df.agg(
-        *[F.struct(F.count_if(value(c) < F.lit(lo)).alias("lo"), F.count_if(value(c) <= F.lit(hi)).alias("hi")).alias(f"_{i}") for i, ((c, k), (lo, hi)) in enumerate(bounds.items())]
-    ).first()  # two numbers per column and share
-    held = []
-    for i, (c, k) in enumerate(spots):
-        n, (lo, hi), below, upto = facts[c]["value_count"], bounds[c, k], counts[i]["lo"], counts[i]["hi"]
-        low, high = math.floor(shares[names[k]] * (n - 1)), math.ceil(shares[names[k]] * (n - 1))
-        if below > low:
-            lo, below = facts[c]["min_value"], 0
-        if upto <= high:
-            hi = facts[c]["max_value"]
-        inside = value(c).between(F.lit(lo), F.lit(hi))
-        spot = F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("_range"), value(c).alias("_value"), F.lit(below).cast("bigint").alias("_before"), F.lit(n).cast("bigint").alias("value_count"))
-        held.append(F.when(inside, spot))
-    hits = df.select(F.explode(F.array_compact(F.array(*held))).alias("h")).select("h.*")
-    counted = hits.groupBy("column_name", "_range", "_value", "_before", "value_count").agg(F.count(F.lit(1)).alias("_n"))
-    found = None
-    # A share's own range is looked at for its own rank only.
-    counted = _kept(counted)
-    for k, name in enumerate(names):
-        mine = {name: shares[name]}
-        part = narrow(counted.where(F.col("_range") == k), ["column_name"], mine)
-        part = _read_off(part, ["column_name"], mine, ["value_count"]).select("column_name", name)
-        found = part if found is None else found.join(part, "column_name")
-    return found
+    stretches = {c: _apart(facts[c]["bounds"]) for c in columns if facts[c]["value_count"]}
+    if not stretches:
+        return df.sparkSession.createDataFrame([], ", ".join(["column_name string", *(f"`{n}` double" for n in shares)]))
+    # Two numbers per column and stretch: the values below it, and those up to its end.
+    edges = [e for c, spans in stretches.items() for lo, hi in spans for e in (value(c) < F.lit(lo), value(c) <= F.lit(hi))]
+    counts = iter(df.agg(*[F.count_if(e).alias(f"_{i}") for i, e in enumerate(edges)]).first())
+    below = {}
+    for c, spans in stretches.items():
+        n = facts[c]["value_count"]
+        held = [(lo, hi, next(counts), next(counts)) for lo, hi in spans]
+        wanted = {r for share in shares.values() for r in (math.floor(share * (n - 1)), math.ceil(share * (n - 1)))}
+        if not all(any(b <= r < u for _, _, b, u in held) for r in wanted):
+            held = [(facts[c]["min_value"], facts[c]["max_value"], 0, n)]
+        stretches[c], below[c] = [h[:2] for h in held], [h[2] for h in held]
+    numbers = {c: i for i, c in enumerate(stretches)}
+
+    def hit(c: str) -> Column:
+        v = value(c)
+        place = reduce(lambda w, s: w.when(v.between(F.lit(s[1][0]), F.lit(s[1][1])), s[0]), enumerate(stretches[c]), F.when(v.isNull(), None))
+        return F.when(place.isNotNull(), F.struct(F.lit(numbers[c]).alias("_column"), place.alias("_range"), v.alias("_value")))
+
+    hits = df.select(F.explode(F.array_compact(F.array(*map(hit, stretches)))).alias("h")).select("h.*")
+    counted = hits.groupBy("_column", "_range", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    # What is known of a column is looked up after the counting.
+    about = lambda of: F.get(F.array(*[F.lit(of[c]) for c in stretches]), F.col("_column"))
+    before = F.get(F.get(F.array(*[F.array(*[F.lit(b).cast("bigint") for b in below[c]]) for c in stretches]), F.col("_column")), F.col("_range"))
+    counted = counted.select(
+        about({c: c for c in stretches}).alias("column_name"), "_range", "_value", "_n", before.alias("_before"),
+        about({c: facts[c]["value_count"] for c in stretches}).cast("bigint").alias("value_count"),
+    )
+    found = _read_off(narrow(_kept(counted), ["column_name"], shares), ["column_name"], shares, ["value_count"])
+    return found.select("column_name", *shares)
+
+
+def _apart(bounds: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """The stretches between bounds, those that overlap as one."""
+    out: list[tuple[float, float]] = []
+    for lo, hi in sorted(bounds):
+        if out and lo <= out[-1][1]:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    return out
 
 
 def column_facts(df: DataFrame, columns: list[str], shares: dict[str, float]) -> dict[str, dict]:
