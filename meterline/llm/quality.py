@@ -16,9 +16,11 @@ dropped or approximated: the result is the same for any ``FREQUENT``, also for 0
 
 Thresholds. Half of the trusted texts, by their hash, train the model; the other half, which it has not seen, sets the limits, each
 text once however many copies there are. The log perplexity of n grams scatters around its language's level like ``sqrt(1 / n + 1 / SPREAD)``; a document's score
-is its distance from the level in these units. The level is the median of the language's limit-setting documents (of all its documents
-where these are fewer than ``LEAST``, of all languages where those are, too), the limits are their ``QUANTILES`` (of all languages' scores where they are fewer than
-``LEAST_TAIL``), ``SLACK`` times further out. A document outside is rejected.
+is its distance from the level in these units. One rule holds at every size: a figure of n texts is drawn towards the figure of a
+wider set by ``n / (n + PRIOR)``. The level is the median of the language's limit-setting texts, drawn to the median of all its texts, and that to
+the median of the limit-setting texts of all languages (``LEVEL_PRIOR``). The limits come from the ``QUANTILES`` of the language's scores, drawn to those of all
+languages (``LIMIT_PRIOR``): ``FENCE`` times the distance of the two quantiles outside of them. A document beyond is rejected. The model learns each
+text once, too. What it has learned it can't judge: these texts are trusted, and they and their copies are kept.
 
 Trusted is what ``labels`` calls good and not toxic. Defined cases. A document without ``ORDER`` characters has no
 perplexity and is kept, as is everything when nothing is trusted. Null text counts as empty; a null lang is a language of its
@@ -44,10 +46,10 @@ FREQUENT = 1 << 17
 SLICE = 1 << 20
 HELD_GRAMS = 1 << 20
 QUANTILES = (0.01, 0.99)
-SLACK = 1.0
+FENCE = 1.0
 SPREAD = 5000.0
-LEAST = 30
-LEAST_TAIL = 500
+LEVEL_PRIOR = 30
+LIMIT_PRIOR = 100
 ACCURACY = 100_000
 KEYS_BROADCAST = 1 << 21
 
@@ -134,8 +136,10 @@ class Model:
 def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     """D1, D2, D3+ of modified Kneser-Ney, kept inside 0 .. n where counts of counts are too thin."""
     n1, n2, n3, n4 = (counts_of_counts.get(i, 0) for i in (1, 2, 3, 4))
-    if not n1:
+    if not any(counts_of_counts.values()):
         return 0.0, 0.0, 0.0
+    if not n1:  # nothing is rare, so there is nothing to estimate from; something is held back for what was never seen
+        return 0.5, 1.0, 1.5
     y = n1 / (n1 + 2 * n2)
     raw = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5)
     return tuple(min(max(d, 0.0), float(i + 1)) for i, d in enumerate(raw))
@@ -271,15 +275,18 @@ def _trains() -> Column:
 
 
 def scored(keyed: DataFrame, labels: DataFrame, frequent: int = FREQUENT) -> DataFrame:
-    """Row key, doc_id, lang, ``trusted`` (sets the limits), ``n`` and ``log_perplexity`` of every document; stored."""
+    """Row key, doc_id, lang, ``trusted`` (sets the limits), ``learned`` (the model was trained on the text), ``n`` and ``log_perplexity``; stored."""
     ids = stored(trusted_ids(labels), "trusted")
     side = F.broadcast(ids) if ids.count() <= KEYS_BROADCAST else ids
     texts = keyed.select(named("doc_id").cast("bigint").alias("__id"), whole_text().alias("text"), _copy())
-    model = fit(texts.where(_trains()).join(side, "__id", "left_semi").select("text"))
+    texts = texts.where(_trains()).join(side, "__id", "left_semi")
+    learned = stored(texts.groupBy("copy").agg(F.min("text").alias("text")), "learned")
+    model = fit(learned.select("text"))
     facts = keyed.select(*ROW, named("doc_id").cast("bigint").alias("__id"), named("lang").cast("string").alias("lang"), _copy())
     facts = facts.join(ids.withColumn("trusted", F.lit(True)), "__id", "left")
-    sets = F.coalesce("trusted", F.lit(False)) & ~_trains()
-    facts = facts.select(*ROW, F.col("__id").alias("doc_id"), "lang", "copy", F.coalesce(sets, F.lit(False)).alias("trusted"))
+    facts = facts.join(learned.select("copy", F.lit(True).alias("learned")), "copy", "left")
+    sets = F.coalesce(F.col("trusted") & ~_trains(), F.lit(False)).alias("trusted")
+    facts = facts.select(*ROW, F.col("__id").alias("doc_id"), "lang", "copy", sets, F.coalesce("learned", F.lit(False)).alias("learned"))
     if model.empty:
         return stored(facts.withColumn("n", F.lit(0).cast("bigint")).withColumn("log_perplexity", F.lit(None).cast("double")), "perplexities")
     return stored(facts.join(perplexities(keyed, model, frequent), ROW), "perplexities")
@@ -290,7 +297,12 @@ def _each_text(rows: DataFrame, value: str) -> DataFrame:
     return rows.groupBy("lang", "copy").agg(F.max("trusted").alias("trusted"), F.min(value).alias(value))
 
 
-def _level(rows: DataFrame, least: int) -> DataFrame:
+def _drawn(own: Column, n: Column, wider: Column, prior: int) -> Column:
+    """The figure of n texts, drawn to that of a wider set; the latter alone where n is 0."""
+    return F.coalesce((n * own + prior * wider) / (n + prior), wider)
+
+
+def _level(rows: DataFrame) -> DataFrame:
     """Add ``score``: the distance from the language's level in units of the expected scatter."""
     middle = lambda of: F.percentile_approx(of, 0.5, ACCURACY)
     own = F.when(F.col("trusted"), F.col("log_perplexity"))
@@ -298,9 +310,8 @@ def _level(rows: DataFrame, least: int) -> DataFrame:
     levels = each.groupBy("lang").agg(
         F.count(own).alias("support"), F.count("log_perplexity").alias("documents"), middle(own).alias("own"), middle(F.col("log_perplexity")).alias("all")
     )
-    overall = each.agg(middle(own).alias("level")).first()["level"]  # one number
-    level = F.when(F.col("support") >= least, F.col("own")).when(F.col("documents") >= least, F.col("all"))
-    level = level.otherwise(F.lit(overall).cast("double"))
+    overall = F.lit(each.agg(middle(own).alias("level")).first()["level"]).cast("double")  # one number
+    level = _drawn(F.col("own"), F.col("support"), _drawn(F.col("all"), F.col("documents"), overall, LEVEL_PRIOR), LEVEL_PRIOR)
     scatter = F.sqrt(1 / F.greatest(F.col("n"), F.lit(1)) + 1 / SPREAD)
     joined = _with_language(rows, levels.select("lang", level.alias("level")))
     return joined.withColumn("score", (F.col("log_perplexity") - F.col("level")) / scatter).drop("level")
@@ -312,21 +323,18 @@ def _with_language(rows: DataFrame, facts: DataFrame) -> DataFrame:
     return rows.select("*", name).join(facts.select(name, *[c for c in facts.columns if c != "lang"]), "__lang", "left").drop("__lang")
 
 
-def judged(
-    rows: DataFrame, quantiles=QUANTILES, slack: float = SLACK, least: int = LEAST, least_tail: int = LEAST_TAIL
-) -> DataFrame:
+def judged(rows: DataFrame, quantiles=QUANTILES, fence: float = FENCE) -> DataFrame:
     """Add ``score``, ``lowest`` and ``highest`` (limits of the score in the row's language) and ``kept``; stored."""
-    scores = stored(_level(rows, least), "scores")
+    scores = stored(_level(rows), "scores")
     sets = _each_text(scores, "score").where(F.col("trusted") & F.col("score").isNotNull())
     cut = F.percentile_approx("score", list(quantiles), ACCURACY).alias("cut")
-    everywhere = sets.agg(cut).first()["cut"]  # one row of two numbers
-    fallback = F.lit(None) if everywhere is None else F.array(*[F.lit(x) for x in everywhere])
-    own = sets.groupBy("lang").agg(F.count(F.lit(1)).alias("support"), cut).where(F.col("support") >= least_tail).drop("support")
-    limits = _with_language(scores, own).withColumn("cut", F.coalesce("cut", fallback.cast("array<double>")))
-    low, high = F.col("cut")[0], F.col("cut")[1]
-    limits = limits.withColumn("lowest", low - slack * F.abs(low)).withColumn("highest", high + slack * F.abs(high))
+    everywhere = sets.agg(cut).first()["cut"] or [None, None]  # one row of two numbers
+    own = sets.groupBy("lang").agg(F.count(F.lit(1)).alias("support"), cut)
+    n = F.coalesce("support", F.lit(0))
+    low, high = (_drawn(F.col("cut")[i], n, F.lit(x).cast("double"), LIMIT_PRIOR) for i, x in enumerate(everywhere))
+    limits = _with_language(scores, own).withColumn("lowest", low - fence * (high - low)).withColumn("highest", high + fence * (high - low))
     inside = F.col("score").between(F.col("lowest"), F.col("highest"))
-    return stored(limits.withColumn("kept", F.coalesce(inside, F.lit(True))).drop("cut"), "judged")
+    return stored(limits.withColumn("kept", F.col("learned") | F.coalesce(inside, F.lit(True))).drop("cut", "support"), "judged")
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """The Kneser-Ney classifier against a plain implementation, and its decisions on the sample."""
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import cases
 import pytest
 
 from meterline.llm import quality
-from meterline.llm.common import ROW, with_row_key
+from meterline.llm.common import FILE, POS, ROW, with_row_key
 
 SF = "/root/testdata/sf0.01"
 LABELS = "doc_id long, quality int, toxic int"
@@ -129,3 +130,67 @@ def test_nothing_trusted_and_empty_tables(spark):
     assert quality.keep_good(cases.empty(spark), none).count() == 0
     ids = quality.trusted_ids(spark.createDataFrame([(1, 1, None), (2, 1, 0), (2, 0, 0), (3, 1, 1), (4, None, 0)], LABELS))
     assert [r["__id"] for r in ids.collect()] == [1]
+
+
+def value_at(values, share):
+    ordered = sorted(values)
+    return ordered[max(math.ceil(share * len(ordered)), 1) - 1] if ordered else None
+
+
+def drawn(own, n, wider, prior):
+    return wider if own is None else (n * own + prior * wider) / (n + prior)
+
+
+def brute_verdicts(rows, fence):
+    """lang, copy, trusted, n, log_perplexity to (score, lowest, highest, kept), by one rule at every size."""
+    each = {}
+    for lang, copy, trusted, _, lp in rows:
+        old = each.get((lang, copy), (False, lp))
+        each[lang, copy] = (old[0] or trusted, lp)
+    sets = {k: lp for k, (trusted, lp) in each.items() if trusted and lp is not None}
+    overall = value_at(sets.values(), 0.5)
+    level = {}
+    for lang in {r[0] for r in rows}:
+        mine = [lp for (x, _), lp in sets.items() if x == lang]
+        whole = [lp for (x, _), (_, lp) in each.items() if x == lang and lp is not None]
+        level[lang] = drawn(value_at(mine, 0.5), len(mine), drawn(value_at(whole, 0.5), len(whole), overall, 30), 30)
+    score = [None if lp is None else (lp - level[lang]) / math.sqrt(1 / n + 1 / 5000) for lang, _, _, n, lp in rows]
+    scores = {(r[0], r[1]): s for r, s in zip(rows, score) if (r[0], r[1]) in sets}
+    out = []
+    for (lang, *_), s in zip(rows, score):
+        mine = [x for (of, _), x in scores.items() if of == lang]
+        low, high = (drawn(value_at(mine, q), len(mine), value_at(scores.values(), q), 100) for q in quality.QUANTILES)
+        low, high = low - fence * (high - low), high + fence * (high - low)
+        out.append((s, low, high, s is None or low <= s <= high))
+    return out
+
+
+@pytest.mark.parametrize("fence", [0.0, 1.0])
+def test_verdicts_equal_brute_force(spark, fence):
+    r = random.Random(5)
+    rows = []
+    for lang, size, middle in (("en", 400, 1.5), ("de", 40, 1.9), ("fr", 3, 2.4), (None, 5, 1.0), ("none trusted", 6, 3.0)):
+        for i in range(size):
+            n = r.choice([1, 5, 60, 900, 20_000])
+            text = (lang, i, lang != "none trusted" and r.random() < 0.5, n, None if r.random() < 0.05 else middle + r.gauss(0, 1) * math.sqrt(1 / n + 1 / 5000))
+            rows += [text] * r.choice([1, 1, 1, 4])
+    want = brute_verdicts(rows, fence)
+    table = [(1, i, i, lang, copy, trusted, i % 50 == 0, n, lp) for i, (lang, copy, trusted, n, lp) in enumerate(rows)]
+    df = spark.createDataFrame(table, f"{FILE} long, {POS} long, doc_id long, lang string, copy long, trusted boolean, learned boolean, n long, log_perplexity double")
+    got = {x.doc_id: x for x in quality.judged(df, fence=fence).collect()}
+    assert len(got) == len(rows) and (fence > 0 or any(not w[3] for w in want))
+    for i, (score, low, high, kept) in enumerate(want):
+        have = got[i]
+        assert (have.score is None) == (score is None) and (score is None or have.score == pytest.approx(score, rel=1e-9, abs=1e-9))
+        assert (have.lowest, have.highest) == (pytest.approx(low, rel=1e-9), pytest.approx(high, rel=1e-9))
+        assert have.kept == (kept or i % 50 == 0)
+
+
+def test_a_language_that_grows_has_no_step(spark):
+    """One text more moves the limits a little at any size: no count switches the rule."""
+    r = random.Random(2)
+    big = [("en", i, True, 1000, r.gauss(1.5, 0.03)) for i in range(1500)]
+    small = [("de", i, True, 1000, r.gauss(1.9, 0.06)) for i in range(700)]
+    for size in (1, 2, 28, 31, 99, 101, 498, 502, 650):
+        a, b = (brute_verdicts([*big, *small[:k]], 1.0)[-1] for k in (size, size + 1))
+        assert abs(a[1] - b[1]) < 0.2 * abs(a[1]) and abs(a[2] - b[2]) < 0.2 * abs(a[2])
