@@ -67,11 +67,18 @@ GRID = 20  # cells per power of ten of p
 DEEPEST = 300  # p-values below 10^-300 share a cell
 
 
+SPANS = "array<struct<start:bigint,kind:int,end:bigint,match:string>>"
+CHUNK = 256
+
+
 def _matches(text: Column, pattern: str, kind: int) -> Column:
-    """Array of (start, kind, end, match) of all matches, leftmost and not overlapping."""
+    """Array of (start, kind, end, match) of all matches, leftmost and not overlapping.
+
+    Places are running sums over gaps and matches. A fold copies what it has gathered at each step, so it runs over
+    chunks of ``CHUNK`` matches, each from the place where it begins: the work grows in proportion to the matches.
+    """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,kind:int,end:bigint,match:string>>").alias("spans"))
 
     def step(acc: Column, pair: Column) -> Column:
         begin = acc["at"] + F.char_length(pair["gap"])
@@ -79,9 +86,25 @@ def _matches(text: Column, pattern: str, kind: int) -> Column:
         span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), pair["match"].alias("match"))
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
+    def placed(chunk: Column, begin: Column) -> Column:
+        empty = F.struct(begin.alias("at"), F.array().cast(SPANS).alias("spans"))
+        return F.aggregate(chunk, empty, step, lambda s: s["spans"])
+
+    def begins(chunks: Column) -> Column:
+        """The place where each chunk begins."""
+        size = lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda n, p: n + F.char_length(p["gap"]) + F.char_length(p["match"]))
+        zero = F.array(F.lit(0).cast("bigint"))
+        return F.aggregate(F.transform(chunks, size), zero, lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+
+    def cut(pairs: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(pairs), F.lit(CHUNK))
+        return F.transform(firsts, lambda first: F.slice(pairs, first, F.lit(CHUNK)))
+
+    # Bound to names by the outer functions, each step is computed once per text.
+    once = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)
     pairs = F.zip_with(found, F.slice(between, 1, F.greatest(F.size(found), F.lit(0))), lambda m, g: F.struct(m.alias("match"), g.alias("gap")))
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,match:string>>")
-    return F.when(F.rlike(text, F.lit(pattern)), F.aggregate(pairs, start, step, lambda s: s["spans"])).otherwise(none)
+    spans = once(once(pairs, cut), lambda chunks: F.flatten(F.zip_with(chunks, F.slice(begins(chunks), 1, F.size(chunks)), placed)))
+    return F.when(F.rlike(text, F.lit(pattern)), spans).otherwise(F.array().cast(SPANS))
 
 
 def base_spans(text: Column) -> Column:
@@ -110,7 +133,9 @@ def pieces(run: Column) -> Column:
     cut = F.concat(*[_matches(run["match"], reading, 3) for reading in READINGS])
     long = F.filter(cut, lambda m: m["end"] - m["start"] >= LEAST)
     moved = F.transform(long, lambda m: F.struct((run["start"] + m["start"]).alias("start"), (run["start"] + m["end"]).alias("end"), m["match"].alias("match")))
-    return F.array_distinct(moved)
+    # Sorted, so that equal ones are neighbours; array_distinct would compare every pair of structs.
+    apart = lambda a: F.filter(a, lambda m, i: (i == 0) | (m != F.get(a, i - 1)))
+    return F.element_at(F.transform(F.array(F.array_sort(moved)), apart), 1)
 
 
 def candidates(keyed: DataFrame) -> DataFrame:
@@ -232,30 +257,35 @@ def discoveries(found: DataFrame, rate: float = RATE) -> DataFrame:
     return passed.where(F.col("cell") >= F.col("least_cell"))
 
 
-def joined(spans: Column) -> Column:
-    """Spans of one kind, those that overlap put together, in order."""
-
-    def step(acc: Column, s: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        wider = F.struct(last["start"].alias("start"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
-        meets = F.coalesce(last["end"] > s["start"], F.lit(False))
-        return F.when(meets, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(wider))).otherwise(F.concat(acc, F.array(s)))
+def apart_and_joined(found: DataFrame, based: DataFrame) -> DataFrame:
+    """The found pieces that overlap no base span, those that overlap each other as one: row key, start, end.
 
-    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"), step)
+    One walk over the spans of a text in each direction tells how far base spans reach from the left and from the right.
+    """
+    known = based.join(found.select(*ROW).distinct(), ROW, "left_semi").select(*ROW, F.explode("base").alias("b"))
+    known = known.select(*ROW, F.col("b.start").alias("start"), F.col("b.end").alias("end"), F.lit(True).alias("is_base"))
+    every = found.select(*ROW, "start", "end", F.lit(False).alias("is_base")).unionByName(known)
+    up = Window.partitionBy(*ROW).orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*ROW).orderBy(F.col("start").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    left, right = F.max(F.when(F.col("is_base"), F.col("end"))), F.min(F.when(F.col("is_base"), F.col("start")))
+    every = every.withColumn("left", left.over(up)).withColumn("right", right.over(down)).where(~F.col("is_base"))
+    free = every.where(~(F.coalesce(F.col("left") > F.col("start"), F.lit(False)) | F.coalesce(F.col("right") < F.col("end"), F.lit(False))))
+    order = Window.partitionBy(*ROW).orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(reach <= F.col("start"), F.lit(True)).cast("int")
+    numbered = free.withColumn("new", new).withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return numbered.groupBy(*ROW, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
 
 
 def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """One row per document: doc_id, ``base`` and ``spans``: arrays of (start, kind, end)."""
     keyed = with_row_key(docs)
     based = stored(keyed.select(*ROW, named("doc_id").cast("bigint").alias("doc_id"), base_spans(whole_text()).alias("base")), "base-spans")
-    found = discoveries(candidates(keyed), rate)
+    found = apart_and_joined(discoveries(candidates(keyed), rate), based)
     extra = found.groupBy(*ROW).agg(F.collect_list(F.struct("start", F.lit(3).alias("kind"), "end")).alias("extra"))
     both = based.join(extra, ROW, "left")
-    apart = F.filter(
-        F.coalesce("extra", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")),
-        lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])),
-    )
-    return both.select("doc_id", "base", F.array_sort(F.concat("base", joined(apart))).alias("spans"))
+    extra = F.coalesce("extra", F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>"))
+    return both.select("doc_id", "base", F.array_sort(F.concat("base", extra)).alias("spans"))
 
 
 def listed(spans: Column) -> Column:

@@ -459,3 +459,16 @@ def test_shared_chunks_are_cut_alike():
 
 def test_bpe_of_an_empty_table(spark):
     assert bpe.encode_documents(cases.empty(spark), VOCABULARY, ["doc_id"]).count() == 0
+
+
+def test_many_matches_in_one_text(spark):
+    """Spans of 60,000 matches: the work grows with the matches, not with their square."""
+    r = random.Random(9)
+    text = "\n".join(f"{r.getrandbits(104):026x}" for _ in range(60_000))
+    mixed = " ".join(r.choice(["token = abcdef12", "AKIA" + "A" * 16, f"{r.getrandbits(104):026x}", "words", "é😀"]) for _ in range(1500))
+    df = spark.createDataFrame([(1, text), (2, mixed)], "doc_id long, text string")
+    got = {x.doc_id: x for x in secret_scan.secret_report(df).collect()}
+    assert got[1].n_hex == 60_000 and got[1].base_sha256 == hashlib.sha256(",".join(f"hex:{27 * i}:{27 * i + 26}" for i in range(60_000)).encode()).hexdigest()
+    spans = [(m.start(), k, m.end()) for k, p in enumerate((secret_scan.ASSIGN, secret_scan.ACCESS, secret_scan.HEX)) for m in re.finditer(p, mixed)]
+    want = ",".join(f"{secret_scan.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+    assert got[2].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
