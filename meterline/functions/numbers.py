@@ -39,9 +39,10 @@ def to_money(c: Column | str) -> Column:
     """Number to DECIMAL(18,3) by way of thousandths, ties away from zero; a plain cast prints and parses each double."""
     scaled = (F.col(c) if isinstance(c, str) else c).cast("double") * 1000
     size = F.abs(scaled)
-    mills = F.floor(size) + F.when(size - F.floor(size) >= 0.5, 1).otherwise(0)
-    signed = F.when(scaled < 0, -mills).otherwise(mills)
-    return (signed.cast("decimal(18,0)") * F.lit(MILL)).cast(MONEY)
+    # Without conditionals the parts that occur twice are computed once per row.
+    mills = F.floor(size) + (size - F.floor(size) >= 0.5).cast("bigint")
+    sign = F.lit(1).cast("bigint") - 2 * (scaled < 0).cast("bigint")
+    return ((sign * mills).cast("decimal(18,0)") * F.lit(MILL)).cast(MONEY)
 
 
 def safe_ratio(top: Column, bottom: Column, digits: int | None = None) -> Column:

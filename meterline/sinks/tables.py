@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterline.operators.layout import quantile_cuts, z_value
 from meterline.sources.catalog import row_count, table_exists
 from meterline.sources.files import conform
 
@@ -62,6 +63,9 @@ def write_files(df: DataFrame, path: str, files: int) -> None:
     df.repartition(files).write.mode("overwrite").parquet(path)
 
 
+ROWS_PER_FILE = 4_000_000
+
+
 def write_clustered(
     df: DataFrame,
     path: str,
@@ -69,21 +73,33 @@ def write_clustered(
     cluster_by: list[str] | None = None,
     mode: str = "overwrite",
     bloom_on: list[str] | None = None,
-    spread: int | None = None,
+    rows_per_file: int | None = None,
+    z_bits: int | None = None,
 ) -> None:
     """Partitioned table, sorted inside each file so that min/max statistics can skip row groups.
 
     ``bloom_on`` names lookup columns that get Parquet bloom filters, in the place of an index. A partition
     column should leave some hundred MB per value: a folder per day of a small table is mostly file overhead.
-    ``spread`` is a number of tasks for such tables, which Spark would otherwise write in one; without it large
-    partitions are split over tasks and small ones share one.
+
+    Without further settings large partitions are split over tasks and small ones share one. With ``rows_per_file`` the rows are dealt to
+    as many tasks as their number asks for, by ranges of partition, cluster columns and a hash of the row, so that a
+    partition of any size, even one of equal keys, is split and files grow in number with the data. With ``z_bits`` the ranges are over the
+    interleaved quantile ranks of the (numeric) cluster columns in place of one column after the other: a filter on any one of them then skips
+    files, where a plain sort helps the first only.
     """
     parts, order = partition_by or [], cluster_by or []
-    if parts:
-        df = rebalanced(df, *parts) if spread is None else df.repartition(spread, *parts)
+    columns = df.columns
+    if z_bits is not None:
+        df = df.withColumn("__z", z_value(quantile_cuts(df, order, z_bits), z_bits))
+        order = ["__z", *order]
+    if rows_per_file is not None or z_bits is not None:
+        files = max(-(-df.count() // (rows_per_file or ROWS_PER_FILE)), 1)
+        df = df.repartitionByRange(files, *parts, *order, F.xxhash64(*columns))
+    elif parts:
+        df = rebalanced(df, *parts)
     if parts or order:
         df = df.sortWithinPartitions(*parts, *order)
-    writer = df.write.mode(mode)
+    writer = df.select(*columns).write.mode(mode)
     for column in bloom_on or []:
         writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     if parts:

@@ -1,5 +1,7 @@
 from datetime import date, datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -279,3 +281,53 @@ def test_kafka_options():
 def test_long_values_keep_their_type(spark, tmp_path):
     schema = struct(id=LONG)
     assert files.conform(spark.createDataFrame([(5,)], "ID int"), schema).dtypes == [("id", "bigint")]
+
+
+def row_groups(path, column, value):
+    """Row groups in all, and those whose statistics allow the value."""
+    every, met = 0, 0
+    for file in Path(path).rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.to_arrow_schema().names.index(column)
+        for i in range(meta.num_row_groups):
+            stats = meta.row_group(i).column(at).statistics
+            every += 1
+            met += stats.min <= value <= stats.max
+    return every, met
+
+
+def test_z_order_skips_on_either_column(spark, tmp_path):
+    df = spark.range(64_000).select(
+        (F.col("id") % 3).alias("month"),
+        F.pmod(F.xxhash64("id"), F.lit(250)).alias("pu"),
+        F.pow(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(250)) / 16, F.lit(2)).cast("bigint").alias("do"),  # skewed
+        F.col("id").alias("trip"),
+    )
+    plain, z = str(tmp_path / "plain"), str(tmp_path / "z")
+    tables.write_clustered(df, plain, ["month"], ["pu", "do"], rows_per_file=1000)
+    tables.write_clustered(df, z, ["month"], ["pu", "do"], rows_per_file=1000, z_bits=4)
+    assert rows(spark.read.parquet(z).select(*df.columns)) == rows(df)
+    for value in (3, 100):
+        n, on_second = row_groups(z, "do", value)
+        m, on_second_plain = row_groups(plain, "do", value)
+        assert n >= 60 and m >= 60 and on_second_plain > 0.9 * m  # a plain sort helps the first column only
+        assert on_second < 0.5 * n and row_groups(z, "pu", value)[1] < 0.5 * n
+
+
+def test_files_grow_with_the_data_and_split_a_hot_key(spark, tmp_path):
+    for size in (2000, 20_000):
+        path = str(tmp_path / str(size))
+        hot = spark.range(size).select(F.lit(1).alias("day"), F.lit(7).alias("pu"), F.lit(9).alias("do"), "id")
+        tables.write_clustered(hot, path, ["day"], ["pu", "do"], rows_per_file=500, z_bits=2)
+        files = list(Path(path).rglob("*.parquet"))
+        assert size / 500 * 0.8 <= len(files) <= size / 500 + 1
+        assert max(pq.ParquetFile(f).metadata.num_rows for f in files) < 1000
+        assert spark.read.parquet(path).count() == size
+
+
+def test_z_value_of_nulls_and_empty_tables(spark, tmp_path):
+    df = spark.createDataFrame([(None, 1), (5, None), (None, None), (2, 3)], "pu int, do int")
+    tables.write_clustered(df, str(tmp_path / "nulls"), [], ["pu", "do"], z_bits=2)
+    assert rows(spark.read.parquet(str(tmp_path / "nulls"))) == rows(df)
+    tables.write_clustered(df.limit(0), str(tmp_path / "empty"), [], ["pu", "do"], z_bits=2)
+    assert spark.read.schema(df.schema).parquet(str(tmp_path / "empty")).count() == 0
