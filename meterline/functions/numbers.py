@@ -38,9 +38,8 @@ def rounded(c: Column | str, digits: int) -> Column:
 def to_money(c: Column | str) -> Column:
     """Number to DECIMAL(18,3) by way of thousandths, ties away from zero; a plain cast prints and parses each double."""
     scaled = (F.col(c) if isinstance(c, str) else c).cast("double") * 1000
-    size = F.abs(scaled)
-    # Without conditionals the parts that occur twice are computed once per row.
-    mills = F.floor(size) + (size - F.floor(size) >= 0.5).cast("bigint")
+    # The double right below one half: added to it, 0.49999999999999994 stays below one, and an exact half reaches it.
+    mills = F.floor(F.abs(scaled) + F.lit(0.49999999999999994))
     sign = F.lit(1).cast("bigint") - 2 * (scaled < 0).cast("bigint")
     return ((sign * mills).cast("decimal(18,0)") * F.lit(MILL)).cast(MONEY)
 
