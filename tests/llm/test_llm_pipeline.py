@@ -70,7 +70,7 @@ def test_awkward_documents(spark, tmp_path):
 
 def test_names(spark):
     names = list(queries.QUERIES)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(contract.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_classifier", "exact_dedup", "simhash_near_dedup", "mix_sources", "bpe_encode"]
 
