@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from meterline.functions.names import lower_columns
+from meterline.jobs.lanes import run_in_order
 from meterline.operators import quality as dq
 from meterline.plans import analytics, marts, platform, staging
 from meterline.schemas import ZONES
@@ -191,14 +192,15 @@ def run_tests(ctx: Context, name: str) -> DataFrame | None:
 
 
 def build(
-    ctx: Context, names: list[str] | None = None, upstream: bool = False, test: bool = True, stop: bool = True
+    ctx: Context, names: list[str] | None = None, upstream: bool = False, test: bool = True, stop: bool = True, lanes: int = 4
 ) -> list[str]:
-    """Build the selected models in order, each with its tests.
+    """Build the selected models, each with its tests; models that don't use each other are built at the same time.
 
-    A failing test of severity ``error`` stops the build, or is logged where ``stop`` is False.
+    A failing test of severity ``error`` stops the build of all that uses the model, or is logged where ``stop`` is False.
     """
-    done = []
-    for name in selection(names, upstream):
+    chosen = selection(names, upstream)
+
+    def make(name: str) -> None:
         model = MODELS[name]
         df = model.build(ctx)
         if model.table:
@@ -217,9 +219,10 @@ def build(
                 if stop:
                     raise
                 log.warning("%s: %s", name, failure)
-        done.append(name)
         log.info("built %s", name)
-    return done
+
+    run_in_order(chosen, lambda name: MODELS[name].uses, make, lanes)
+    return chosen
 
 
 def raw_reader(spark: SparkSession, root: str) -> Callable[[str], DataFrame]:

@@ -85,8 +85,11 @@ def batch_sessions(df: DataFrame, gap_seconds: int, keys: list[str], time: str =
     # Edge sessions of all blocks of a key share one partition, the others stay with their block, where nothing joins them.
     edge = F.col("_session").isin(1) | (F.col("_session") == F.col("_last_session"))
     parts = parts.withColumn("_block", F.when(~edge, F.col("_block"))).drop("_session", "_last_session")
-    merged = _merged(_numbered(parts, [*keys, "_block"], gap), [*keys, "_block"])
-    return merged.select(
+    return _as_sessions(_merged(_numbered(parts, [*keys, "_block"], gap), [*keys, "_block"]), gap, keys)
+
+
+def _as_sessions(stretches: DataFrame, gap: int, keys: list[str]) -> DataFrame:
+    return stretches.select(
         F.timestamp_micros("_first").alias("window_start"),
         F.timestamp_micros(F.col("_last") + gap).alias("window_end"),
         *keys,
@@ -95,12 +98,31 @@ def batch_sessions(df: DataFrame, gap_seconds: int, keys: list[str], time: str =
 
 
 def _numbered(stretches: DataFrame, keys: list[str], gap: int) -> DataFrame:
-    """Add ``_session``: stretches of time (``_first``, ``_last``) no further apart than the gap get one number per key."""
+    """Add ``_session``: stretches of time (``_first``, ``_last``) no further apart than the gap get one number per key.
+
+    They may overlap or hold each other, so the distance is that to the latest end so far.
+    """
     order = Window.partitionBy(*keys).orderBy("_first")
-    breaks = F.coalesce(F.col("_first") - F.lag("_last").over(order) > gap, F.lit(True))
+    reached = F.max("_last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    breaks = F.coalesce(F.col("_first") - reached > gap, F.lit(True))
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return stretches.withColumn("_new", breaks.cast("int")).withColumn("_session", F.sum("_new").over(running)).drop("_new")
 
 
 def _merged(stretches: DataFrame, keys: list[str]) -> DataFrame:
     return stretches.groupBy(*keys, "_session").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"), F.sum("_n").alias("_n"))
+
+
+def merge_sessions(parts: DataFrame, gap_seconds: int, keys: list[str]) -> DataFrame:
+    """One row per session from sessions of parts of the events, which may overlap, touch or hold each other.
+
+    All parts of a key meet in one window: give it those of a bounded time.
+    """
+    gap = gap_seconds * 1_000_000
+    stretches = parts.select(
+        *keys,
+        F.unix_micros("window_start").alias("_first"),
+        (F.unix_micros("window_end") - gap).alias("_last"),
+        F.col("num_trips").alias("_n"),
+    )
+    return _as_sessions(_merged(_numbered(stretches, keys, gap), keys), gap, keys)

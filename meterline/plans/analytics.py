@@ -11,7 +11,7 @@ from meterline.functions.labels import month_label, payment_label, rate_label
 from meterline.functions.numbers import pct_change, rounded
 from meterline.operators.percentiles import exact_percentiles
 from meterline.operators.ranking import share_of_total, top_n
-from meterline.plans.marts import valid_trips
+from meterline.plans.marts import valid_trips, zone_state
 
 
 def fare_percentiles(fct: DataFrame) -> DataFrame:
@@ -43,19 +43,19 @@ def revenue_growth(fct: DataFrame, zones: DataFrame) -> DataFrame:
     sums are taken per location id before the zone lookup and then per zone name; decimal sums
     make both steps exact.
     """
+    return growth_of(zone_state(fct), zones)
+
+
+def growth_of(state: DataFrame, zones: DataFrame) -> DataFrame:
+    """Month-over-month revenue and trips from the sums per location and month."""
     month_keys = ["service_type", "pickup_year", "pickup_month"]
-    per_location = (
-        valid_trips(fct)
-        .groupBy(*month_keys, "pickup_location_id")
-        .agg(F.sum("total_amount").alias("_revenue"), F.count(F.lit(1)).alias("_trips"))
-    )
     named = zones.where(F.col("zone").isNotNull()).select(
         "location_id", F.col("zone").alias("pickup_zone"), F.col("borough").alias("pickup_borough")
     )
     monthly = (
-        per_location.join(named, per_location.pickup_location_id == named.location_id)
+        state.join(named, state.pickup_location_id == named.location_id)
         .groupBy(*month_keys, "pickup_zone", "pickup_borough")
-        .agg(F.sum("_revenue").alias("_revenue"), F.sum("_trips").alias("trip_count"))
+        .agg(F.sum("revenue").alias("_revenue"), F.sum("trips").alias("trip_count"))
     )
     order = Window.partitionBy("service_type", "pickup_zone").orderBy("pickup_year", "pickup_month")
     lagged = monthly.withColumns(
@@ -150,13 +150,14 @@ def declining_zones(growth: DataFrame, more_than: int = 2) -> DataFrame:
     return counted.where(F.col("negative_months") > more_than)
 
 
-def yoy_growth(growth: DataFrame, before: int, after: int, at_least: float = 10000, n: int = 10) -> DataFrame:
-    """Annual revenue of two years side by side, zones of the earlier year above a floor."""
-    annual = (
-        growth.where(F.col("year").isin(before, after))
-        .groupBy("pickup_zone", "service_type", "year")
-        .agg(F.sum("revenue").alias("_annual"))
-    )
+def annual_revenue(growth: DataFrame, before: int, after: int) -> DataFrame:
+    """Revenue per zone, service and year, of two years."""
+    chosen = growth.where(F.col("year").isin(before, after))
+    return chosen.groupBy("pickup_zone", "service_type", "year").agg(F.sum("revenue").alias("_annual"))
+
+
+def compare_years(annual: DataFrame, before: int, after: int, at_least: float = 10000, n: int = 10) -> DataFrame:
+    """Two years of annual revenue side by side, zones of the earlier year above a floor."""
     keys = ["pickup_zone", "service_type"]
     old = annual.where((F.col("year") == before) & (F.col("_annual") > at_least)).select(
         *keys, F.col("_annual").alias("revenue_before")
@@ -166,6 +167,11 @@ def yoy_growth(growth: DataFrame, before: int, after: int, at_least: float = 100
     return top_n(compared, "yoy_growth", n, keys)
 
 
+def yoy_growth(growth: DataFrame, before: int, after: int, at_least: float = 10000, n: int = 10) -> DataFrame:
+    """Annual revenue of two years side by side, zones of the earlier year above a floor."""
+    return compare_years(annual_revenue(growth, before, after), before, after, at_least, n)
+
+
 def seasonality(growth: DataFrame) -> DataFrame:
     """Average zone revenue and active zones per calendar month and service."""
     return (

@@ -45,27 +45,27 @@ def valid_trips(fct: DataFrame) -> DataFrame:
     return fct.where(~F.col("is_invalid_trip"))
 
 
-def monthly_zone_revenue(fct: DataFrame, zones: DataFrame) -> DataFrame:
-    """Monthly trips and revenue per pickup zone; trips of an unknown zone keep a NULL zone.
-
-    Aggregated by location id first: the zone lookup then meets one row per group, not every trip.
-    """
-    per_location = (
+def zone_state(fct: DataFrame) -> DataFrame:
+    """Counts and sums of valid trips per service, month and pickup location. States of parts add up to that of the whole."""
+    return (
         valid_trips(fct)
         .groupBy("service_type", "pickup_year", "pickup_month", "pickup_location_id")
         .agg(
-            F.count(F.lit(1)).alias("total_monthly_trips"),
-            F.sum("fare_amount").alias("revenue_monthly_fare"),
-            F.sum("total_amount").alias("revenue_monthly_total_amount"),
-            # The inputs are exact, so sum over count is the mean; NULLs stay out of both.
-            (F.sum("trip_distance").cast("double") / F.count("trip_distance")).alias("avg_trip_distance"),
-            (F.sum("trip_duration_minutes").cast("double") / F.count("trip_duration_minutes")).alias(
-                "avg_trip_duration_minutes"
-            ),
+            F.count(F.lit(1)).alias("trips"),
+            F.sum("fare_amount").alias("fares"),
+            F.sum("total_amount").alias("revenue"),
+            F.sum("trip_distance").alias("distance"),
+            F.count("trip_distance").alias("distances"),
+            F.sum("trip_duration_minutes").alias("minutes"),
+            F.count("trip_duration_minutes").alias("durations"),
         )
     )
+
+
+def zone_revenue_of(state: DataFrame, zones: DataFrame) -> DataFrame:
+    """Monthly trips and revenue per pickup zone, from their state."""
     names = zones.select("location_id", F.col("zone").alias("pickup_zone"), F.col("borough").alias("pickup_borough"))
-    joined = per_location.join(names, per_location.pickup_location_id == names.location_id, "left")
+    joined = state.join(names, state.pickup_location_id == names.location_id, "left")
     return joined.select(
         "service_type",
         "pickup_year",
@@ -73,9 +73,18 @@ def monthly_zone_revenue(fct: DataFrame, zones: DataFrame) -> DataFrame:
         "pickup_location_id",
         "pickup_zone",
         "pickup_borough",
-        "total_monthly_trips",
-        "revenue_monthly_fare",
-        "revenue_monthly_total_amount",
-        "avg_trip_distance",
-        "avg_trip_duration_minutes",
+        F.col("trips").alias("total_monthly_trips"),
+        F.col("fares").alias("revenue_monthly_fare"),
+        F.col("revenue").alias("revenue_monthly_total_amount"),
+        # The inputs are exact, so sum over count is the mean; NULLs stay out of both.
+        (F.col("distance").cast("double") / F.col("distances")).alias("avg_trip_distance"),
+        (F.col("minutes").cast("double") / F.col("durations")).alias("avg_trip_duration_minutes"),
     )
+
+
+def monthly_zone_revenue(fct: DataFrame, zones: DataFrame) -> DataFrame:
+    """Monthly trips and revenue per pickup zone; trips of an unknown zone keep a NULL zone.
+
+    Aggregated by location id first: the zone lookup then meets one row per group, not every trip.
+    """
+    return zone_revenue_of(zone_state(fct), zones)

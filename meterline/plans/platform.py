@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.numbers import rounded, safe_ratio
 from meterline.functions.timeparts import month_start, weekday_from_one
+from meterline.operators.bitmaps import bitmap_distinct
 
 AMOUNTS = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount"]
 
@@ -45,14 +46,12 @@ def _exact(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("decimal(24,6)")
 
 
-def monthly_kpis(fact: DataFrame) -> DataFrame:
-    """Fourteen measures per month with growth against the previous month of the table.
+MONTH = ["pickup_year", "pickup_month"]
+UNIQUE = {"pickup_location_id": "unique_pickup_locations", "dropoff_location_id": "unique_dropoff_locations"}
 
-    Grouped by month and location pair first. The two distinct counts then run over those groups
-    instead of multiplying every trip, and the large table is shuffled once, already summed.
-    """
-    month = ["pickup_year", "pickup_month"]
-    measured = {
+
+def _measured() -> dict[str, Column]:
+    return {
         "passenger_count": F.col("passenger_count"),
         "trip_distance": _exact("trip_distance"),
         "trip_duration_minutes": F.col("trip_duration_minutes"),
@@ -61,22 +60,29 @@ def monthly_kpis(fact: DataFrame) -> DataFrame:
         "avg_speed_mph": _exact("avg_speed_mph"),
         "revenue_per_mile": _exact("revenue_per_mile"),
     }
-    pairs = fact.groupBy(*month, "pickup_location_id", "dropoff_location_id").agg(
+
+
+def kpi_pairs(fact: DataFrame) -> DataFrame:
+    """Counts and sums per month and location pair, from one pass over the trips. They add up to those of any coarser group."""
+    return fact.groupBy(*MONTH, *UNIQUE).agg(
         F.count(F.lit(1)).alias("trips"),
-        *[F.sum(c).alias(f"sum_{n}") for n, c in measured.items()],
-        *[F.count(c).alias(f"cnt_{n}") for n, c in measured.items()],
+        *[F.sum(c).alias(f"sum_{n}") for n, c in _measured().items()],
+        *[F.count(c).alias(f"cnt_{n}") for n, c in _measured().items()],
     )
 
+
+def _kpis(pairs: DataFrame, keys: list[str], *distinct: Column) -> DataFrame:
+    """The measures per group of ``keys``; ``distinct`` are the two counts of locations where the pairs give them."""
+
     def total(name: str) -> Column:
         return F.sum(f"sum_{name}")
 
     def mean(name: str) -> Column:
         return rounded(total(name).cast("double") / F.nullif(F.sum(f"cnt_{name}"), F.lit(0)), 2)
 
-    metrics = pairs.groupBy(*month).agg(
+    return pairs.groupBy(*keys).agg(
         F.sum("trips").alias("total_trips"),
-        F.count_distinct("pickup_location_id").alias("unique_pickup_locations"),
-        F.count_distinct("dropoff_location_id").alias("unique_dropoff_locations"),
+        *distinct,
         total("passenger_count").alias("total_passengers"),
         mean("passenger_count").alias("avg_passengers_per_trip"),
         F.round(total("trip_distance"), 2).alias("total_distance_miles"),
@@ -89,9 +95,38 @@ def monthly_kpis(fact: DataFrame) -> DataFrame:
         mean("avg_speed_mph").alias("avg_speed_mph"),
         mean("revenue_per_mile").alias("avg_revenue_per_mile"),
     )
+
+
+def _with_growth(metrics: DataFrame) -> DataFrame:
     # One row per month: an unpartitioned window is fine here. It works on the rounded total.
-    before = F.lag("total_revenue").over(Window.orderBy(*month))
+    before = F.lag("total_revenue").over(Window.orderBy(*MONTH))
     now, prev = F.col("total_revenue").cast("double"), F.col("prev_month_revenue").cast("double")
     return metrics.withColumn("prev_month_revenue", before).withColumn(
         "revenue_growth_pct", rounded((now - prev) / F.nullif(prev, F.lit(0.0)) * 100, 2)
     )
+
+
+def monthly_kpis(fact: DataFrame) -> DataFrame:
+    """Fourteen measures per month with growth against the previous month of the table.
+
+    Grouped by month and location pair first. The two distinct counts then run over those groups
+    instead of multiplying every trip, and the large table is shuffled once, already summed.
+    """
+    return _with_growth(_kpis(kpi_pairs(fact), MONTH, *[F.count_distinct(c).alias(n) for c, n in UNIQUE.items()]))
+
+
+def kpis_of(pairs: DataFrame, ids: DataFrame, keys: list[str]) -> DataFrame:
+    """The fourteen measures from their states: sums per location pair and bitmaps of the location ids."""
+    metrics, unique = _kpis(pairs, keys), bitmap_distinct(ids, keys, UNIQUE)
+    counted = metrics.join(unique, keys, "left").withColumns({n: F.coalesce(n, F.lit(0)) for n in UNIQUE.values()})
+    rest = [c for c in metrics.columns if c not in (*keys, "total_trips")]
+    return counted.select(*keys, "total_trips", *UNIQUE.values(), *rest)
+
+
+def monthly_kpis_of(pairs: DataFrame, ids: DataFrame) -> DataFrame:
+    return _with_growth(kpis_of(pairs, ids, MONTH))
+
+
+def yearly_kpis_of(pairs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The measures per year. Locations seen in several months count once, which sums of monthly counts could not tell."""
+    return kpis_of(pairs, ids, ["pickup_year"])

@@ -16,6 +16,7 @@ from meterline.session import run_dir, streaming_session
 from meterline.sources import messages
 from meterline.sources.sample import ride_events
 from meterline.streaming import jobs
+from meterline.streaming.keyed import DAY_OF_WINDOW, BucketTable, SessionTable
 from meterline.streaming.run import UpsertTable, drain, drain_complete, drain_upsert, with_event_time
 
 
@@ -190,6 +191,29 @@ def stream_upsert(spark, sf_dir):
     return UpsertTable(f"{_in_two_steps(spark, sf_dir, 'upserts', run_step)}/out", keys).read(spark)
 
 
+@query("stream_upsert_buckets", _tumble_sql("1 HOUR", REVENUE, closed=False))
+def stream_upsert_buckets(spark, sf_dir):
+    """The same corrections in a table by day: the late events rewrite the days they belong to."""
+    keys = ("window_start", "PULocationID")
+
+    def run_step(stream, root):
+        windows = jobs.location_revenue(with_event_time(stream, delay="60 days"))
+        drain_upsert(windows, BucketTable(f"{root}/out", keys, DAY_OF_WINDOW), f"{root}/checkpoint")
+
+    return BucketTable(f"{_in_two_steps(spark, sf_dir, 'buckets', run_step)}/out", keys, DAY_OF_WINDOW).read(spark)
+
+
+@query("session_corrections", _session_sql("5 MINUTE", "user_id", closed=False))
+def session_corrections(spark, sf_dir):
+    """The errors come a month late and extend, bridge or add to the sessions stored before."""
+    keys, month = ("PULocationID",), 60 * 86_400
+
+    def run_step(stream, root):
+        drain_upsert(stream, SessionTable(f"{root}/out", keys, 300, month), f"{root}/checkpoint")
+
+    return SessionTable(f"{_in_two_steps(spark, sf_dir, 'corrected', run_step)}/out", keys, 300, month).read(spark)
+
+
 @query(
     "stream_batch_parity",
     f"""SELECT window_start, "PULocationID", num_trips AS stream_trips, num_trips AS batch_trips, TRUE AS is_match

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.operators.layout import quantile_cuts, z_value
+from meterline.sinks.folders import delete_folder
 from meterline.sources.catalog import row_count, table_exists
 from meterline.sources.files import conform
 
@@ -133,6 +136,50 @@ def reload_partitions(df: DataFrame, path: str, expected: list[tuple[int, int]])
     return counts
 
 
+def in_partitions(by: list[str], keys: list[tuple[int, ...]]) -> Column:
+    """Rows of the named partitions, as a condition that prunes folders."""
+    each = [reduce(Column.__and__, [F.col(c) == v for c, v in zip(by, key, strict=True)]) for key in keys]
+    return reduce(Column.__or__, each, F.lit(False))
+
+
+def replace_partitions(
+    df: DataFrame, path: str, by: list[str], keys: list[tuple[int, ...]], cluster_by: list[str] | None = None
+) -> dict[tuple[int, ...], int]:
+    """Replace the named partitions, and no others, by the rows of ``df`` that belong there; returns their row counts.
+
+    Partition columns are whole numbers. A partition without rows any more is deleted. Rows are counted on their way to the
+    files; doing it again gives the same table.
+    """
+    if not keys:
+        return {}
+    seen = Observation()
+    counts = [F.count_if(in_partitions(by, [key])).alias(f"rows_{i}") for i, key in enumerate(keys)]
+    counted = df.where(in_partitions(by, keys)).observe(seen, *counts)
+    (
+        rebalanced(counted, *by)
+        .sortWithinPartitions(*by, *(cluster_by or []))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
+    found = {key: seen.get[f"rows_{i}"] for i, key in enumerate(keys)}
+    for key, n in found.items():
+        if not n:
+            delete_folder(df.sparkSession, "/".join([path, *[f"{c}={v}" for c, v in zip(by, key, strict=True)]]))
+    return found
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> None:
+    """External catalog table hashed and sorted on ``keys``, one file per bucket.
+
+    Tables of the same number of buckets join on these keys, and group by them, without a shuffle. A bucket is one task's
+    work, so their number grows with the table; a hot key stays in its bucket.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+
+
 def append_evolving(df: DataFrame, path: str, schema: T.StructType, time: str, cluster_by: list[str]) -> None:
     """Append with a fixed schema, month partitions and clustering. New fields are allowed.
 

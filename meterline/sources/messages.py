@@ -32,9 +32,12 @@ def kafka_sample(spark: SparkSession, servers: str, topic: str, n: int = 10) ->
     return spark.read.format("kafka").options(**kafka_options(servers, topic)).load().limit(n)
 
 
-def text_stream(spark: SparkSession, path: str) -> DataFrame:
-    """Message stream from landed text files, one JSON message per line."""
-    return spark.readStream.text(path)
+def text_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Message stream from landed text files, one JSON message per line. Without a limit a batch takes all new files."""
+    reader = spark.readStream
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.text(path)
 
 
 def decode(messages: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:

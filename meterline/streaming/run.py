@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,7 +84,13 @@ class UpsertTable:
         return UpsertTable(path, self.keys)
 
 
-def drain_upsert(stream: DataFrame, table: UpsertTable, checkpoint: str) -> None:
+class Sink(Protocol):
+    """What takes micro-batches by their id; the same batch again changes nothing."""
+
+    def put(self, batch: DataFrame, batch_id: int) -> None: ...
+
+
+def drain_upsert(stream: DataFrame, table: Sink, checkpoint: str) -> None:
     """Process everything available in update mode into a keyed table, then stop."""
     query = (
         stream.writeStream.outputMode("update")
@@ -95,7 +102,7 @@ def drain_upsert(stream: DataFrame, table: UpsertTable, checkpoint: str) -> None
     query.awaitTermination()
 
 
-def start_upsert(stream: DataFrame, table: UpsertTable, checkpoint: str, every: str = "10 seconds"):
+def start_upsert(stream: DataFrame, table: Sink, checkpoint: str, every: str = "10 seconds"):
     """Feed a keyed table continuously in update mode."""
     return (
         stream.writeStream.outputMode("update")
