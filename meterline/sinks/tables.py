@@ -6,12 +6,12 @@ import logging
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.operators.layout import quantile_cuts, z_value
-from meterline.sinks.folders import delete_folder
+from meterline.sinks.folders import delete_folder, names_below
 from meterline.sources.catalog import row_count, table_exists
 from meterline.sources.files import conform
 
@@ -144,30 +144,29 @@ def in_partitions(by: list[str], keys: list[tuple[int, ...]]) -> Column:
 
 def replace_partitions(
     df: DataFrame, path: str, by: list[str], keys: list[tuple[int, ...]], cluster_by: list[str] | None = None
-) -> dict[tuple[int, ...], int]:
-    """Replace the named partitions, and no others, by the rows of ``df`` that belong there; returns their row counts.
+) -> list[tuple[int, ...]]:
+    """Replace the named partitions, and no others, by the rows of ``df`` that belong there; returns those that have rows.
 
-    Partition columns are whole numbers. A partition without rows any more is deleted. Rows are counted on their way to the
-    files; doing it again gives the same table.
+    Partition columns are whole numbers. A partition without rows any more is deleted: its files are the ones it had
+    before, as a write names all of its files anew. Doing it again gives the same table.
     """
     if not keys:
-        return {}
-    seen = Observation()
-    counts = [F.count_if(in_partitions(by, [key])).alias(f"rows_{i}") for i, key in enumerate(keys)]
-    counted = df.where(in_partitions(by, keys)).observe(seen, *counts)
+        return []
+    spark = df.sparkSession
+    folders = {key: "/".join([path, *[f"{c}={v}" for c, v in zip(by, key, strict=True)]]) for key in keys}
+    before = {key: names_below(spark, folder) for key, folder in folders.items()}
     (
-        rebalanced(counted, *by)
+        rebalanced(df.where(in_partitions(by, keys)), *by)
         .sortWithinPartitions(*by, *(cluster_by or []))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)
     )
-    found = {key: seen.get[f"rows_{i}"] for i, key in enumerate(keys)}
-    for key, n in found.items():
-        if not n:
-            delete_folder(df.sparkSession, "/".join([path, *[f"{c}={v}" for c, v in zip(by, key, strict=True)]]))
-    return found
+    filled = [key for key, folder in folders.items() if names_below(spark, folder) != before[key]]
+    for key in set(keys) - set(filled):
+        delete_folder(spark, folders[key])
+    return filled
 
 
 def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> None:
