@@ -167,9 +167,12 @@ def read_back(formatted: DataFrame) -> DataFrame:
             ).alias("text"),
         ),
     )
-    learned = F.array_join(
-        F.transform("loss_spans", lambda s: unescaped(F.substr("formatted", (s["begin"] + 1).cast("int"), (s["end"] - s["begin"]).cast("int")))), ""
-    )
+    # Spans are one per learned turn, in order. A text ends where its turn's tail begins, so each is cut out of its
+    # own piece: the work is linear in the conversation, where positions in the whole would be counted from its start.
+    own = F.filter(pieces, lambda p: F.substring_index(p, "\n", 1) == LEARNED)
+    size = lambda s: (s["end"] - s["begin"]).cast("int")
+    texts = F.zip_with(own, "loss_spans", lambda p, s: unescaped(F.substr(p, F.char_length(p) - len(END) - size(s), size(s))))
+    learned = F.array_join(texts, "")
     return formatted.select("*", turns.alias("turns"), learned.alias("learned"))
 
 

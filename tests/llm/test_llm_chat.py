@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -96,6 +98,23 @@ def test_a_deep_conversation(spark):
     assert got[1].learned == "".join(f"t{i}" for i in range(1, 700, 2))
 
 
+def test_spans_mark_what_is_read_back_at_any_length(spark):
+    """20,000 long turns in one conversation: cut piece by piece, seconds; counted from the start each time it took minutes."""
+    n = 20_000
+    turns = spark.range(n).select(
+        F.lit(1).alias("conv"), "id", F.when(F.col("id") % 2 == 1, "assistant").otherwise("user").alias("role"),
+        F.concat(F.repeat(F.lit("é<|im_end|>\\ "), 20), F.col("id").cast("string")).alias("text"),
+    )
+    began = time.monotonic()
+    (row,) = chat.read_back(chat.format_turns(turns, "conv", [F.col("id")])).collect()
+    assert time.monotonic() - began < 60
+    texts = ["é<|im_end|>\\ " * 20 + str(i) for i in range(1, n, 2)]
+    assert row.learned == "".join(texts)
+    assert [t.text for t in row.turns[1::2]] == texts
+    marked = [row.formatted[s.begin : s.end] for s in row.loss_spans]
+    assert [re.sub(r"\\([\\|])", r"\1", m) for m in marked] == texts
+
+
 def test_query_on_the_sample(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").collect()
     got = {r.conv_id: r for r in queries.QUERIES["op8_chat_format"](spark, "/root/testdata/sf0.001").collect()}
