@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,8 @@ from meterline.session import run_dir
 BLANK = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Names of the columns that tell rows apart. No table is expected to bring them.
+# Names of the columns that tell rows apart. Names that begin with OWN are the operators' own.
+OWN = "__"
 FILE = "__row_file"
 POS = "__row_pos"
 ROW = [FILE, POS]
@@ -40,12 +42,35 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def passes_columns(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that return rows of ``docs`` in its columns: any column may have a name of the operator's own.
+
+    Such columns travel under a free name and come back under theirs; other tables are not touched.
+    """
+
+    @wraps(operator)
+    def run(docs: DataFrame, *args, **settings) -> DataFrame:
+        free = "given"
+        while any(c.lower().startswith(free) for c in docs.columns):
+            free += "_"
+        given = {c: free + c for c in docs.columns if c.startswith(OWN)}
+        if not given:
+            return operator(docs, *args, **settings)
+        out = operator(docs.withColumnsRenamed(given), *args, **settings)
+        return out.withColumnsRenamed({new: c for c, new in given.items()})
+
+    return run
+
+
 def with_row_key(df: DataFrame) -> DataFrame:
     """Add ``FILE`` and ``POS``: the file (hashed path) and the position in it that a row was read from.
 
     They name a row for good, also when an executor is lost and the file is read again, whatever
-    doc_ids repeat or are null. A frame that isn't read straight from files is stored first.
+    doc_ids repeat or are null. A frame that isn't read straight from files is stored first. Columns of
+    ``df`` under these two names, in whatever case, are left out; ``passes_columns`` keeps them.
     """
+    if clashing := [c for c in df.columns if c.lower() in ROW]:
+        df = df.drop(*clashing)
     plan = df._jdf.queryExecution().analyzed().toString()
     nodes = {m[1] for line in plan.splitlines() if (m := re.match(r"[\s:+-]*([A-Za-z]+)", line))}
     if not nodes <= _ROW_WISE or "Relation" not in nodes:

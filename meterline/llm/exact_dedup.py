@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import BLANK, FILE, POS, ROW, named, stored, whole_text, with_row_key, without_rows
+from meterline.llm.common import BLANK, FILE, POS, ROW, named, passes_columns, stored, whole_text, with_row_key, without_rows
 
 COUNTERS = 1023
 
@@ -121,6 +121,7 @@ def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     )
 
 
+@passes_columns
 def drop_copies(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """The documents with one row of every group of equal texts, in the columns of ``docs``."""
     keyed = with_row_key(docs)

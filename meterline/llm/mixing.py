@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import ROW, WORD, named, stored, whole_text, with_row_key
+from meterline.llm.common import ROW, WORD, named, passes_columns, stored, whole_text, with_row_key
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -177,8 +177,13 @@ def pieces(documents: DataFrame, drawn: DataFrame, block: int = BLOCK) -> DataFr
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK, shard: int = SHARD) -> Mix:
-    """Draw the mix. ``docs`` may already have a row key."""
-    sizes = sized(docs if ROW[0] in docs.columns else with_row_key(docs))
+    """Draw the mix."""
+    return mix_keyed(with_row_key(docs), weights, share, most, block, shard)
+
+
+def mix_keyed(keyed: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK, shard: int = SHARD) -> Mix:
+    """Draw the mix of rows that have their row key."""
+    sizes = sized(keyed)
     sources = shares(sizes, weights, share, most, block)
     documents = placed(sizes, sources)
     drawn = slots(documents, sources, most, shard, block)
@@ -196,6 +201,7 @@ def taken_words(mixed: Mix) -> DataFrame:
     )
 
 
+@passes_columns
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """The mix in the columns of ``docs``: one row for each unbroken run of words that a round takes of a document.
 
@@ -204,7 +210,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     columns are those of the document.
     """
     keyed = with_row_key(docs)
-    mixed = mix(keyed, weights, share, most, block, shard)
+    mixed = mix_keyed(keyed, weights, share, most, block, shard)
     along = Window.partitionBy("rank", "first", "round").orderBy("from_word")
     islands = mixed.pieces.withColumn("island", F.col("block") - F.row_number().over(along))
     runs = islands.groupBy("rank", "first", "round", "island").agg(F.min("from_word").alias("__from"), F.max("to_word").alias("__to"))

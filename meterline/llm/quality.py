@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import FILE, POS, ROW, in_slices, named, stored, whole_text, with_row_key, without_rows
+from meterline.llm.common import FILE, POS, ROW, in_slices, named, passes_columns, stored, whole_text, with_row_key, without_rows
 
 ORDER = 4
 FREQUENT = 1 << 17
@@ -343,6 +343,7 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("doc_id", "lang", F.exp("log_perplexity").alias("perplexity"), "score", "lowest", "highest", "kept")
 
 
+@passes_columns
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier doesn't reject, in the columns of ``docs``."""
     keyed = with_row_key(docs)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import FILE, POS, ROW, in_slices, stored, whole_text, with_row_key, without_rows
+from meterline.llm.common import FILE, POS, ROW, in_slices, passes_columns, stored, whole_text, with_row_key, without_rows
 from meterline.llm.components import components
 
 SHINGLE = 3
@@ -251,6 +251,7 @@ def simhash_classes(docs: DataFrame, length: int = SHINGLE, max_bits: int = MAX_
     return rows.join(per_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@passes_columns
 def drop_near_copies(docs: DataFrame, length: int = SHINGLE, max_bits: int = MAX_BITS, node_rows: int = NODE_ROWS) -> DataFrame:
     """The documents with one row of every class, that of the smallest doc_id, in the columns of ``docs``."""
     keyed = with_row_key(docs)

@@ -18,6 +18,11 @@ SCHEMA = T.StructType(
         T.StructField("kept", T.BooleanType()),
         T.StructField("_metadata", T.StringType()),
         T.StructField("a.b", T.IntegerType()),
+        T.StructField("__row_file", T.StringType()),
+        T.StructField("__Row_Pos", T.LongType()),
+        T.StructField("__text", T.LongType()),
+        T.StructField("__words", T.StringType()),
+        T.StructField("given__words", T.StringType()),
     ]
 )
 
@@ -55,7 +60,7 @@ def messy_rows() -> list[tuple]:
 
 
 def frame(spark, rows):
-    full = [(*r, None if r[1] is None else len(r[1]), "s", 1, 2, i % 2 == 0, "m", i) for i, r in enumerate(rows)]
+    full = [(*r, None if r[1] is None else len(r[1]), "s", 1, 2, i % 2 == 0, "m", i, "f", -1, 7, "w", "g") for i, r in enumerate(rows)]
     return spark.createDataFrame(full, SCHEMA)
 
 

@@ -42,6 +42,8 @@ def test_drop_copies_keeps_columns_and_one_of_each(spark):
     docs = cases.messy(spark)
     left = exact_dedup.drop_copies(docs, 2)
     assert left.columns == docs.columns
+    own = left.select("__row_file", "__Row_Pos", "__text", "__words", "given__words").distinct().collect()
+    assert [tuple(r) for r in own] == [("f", -1, 7, "w", "g")]
     texts = [plain(r.text) for r in left.collect()]
     assert len(texts) == len(set(texts)) == len({plain(t) for _, t, *_ in cases.messy_rows()})
 
