@@ -41,14 +41,34 @@ def pin_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _sibling(spark: SparkSession) -> SparkSession:
+    """A session of its own SQL settings over the same catalog, with the library's and the number of shuffle partitions."""
+    sibling = pin_settings(spark.newSession())
+    sibling.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    return sibling
+
+
+def planning_session(spark: SparkSession) -> SparkSession:
+    """A sibling session that plans joins by the catalog's statistics.
+
+    Inner joins are ordered by estimated sizes in place of the order they were written in. ``ANALYZE`` stores
+    histograms here, so that ranges are estimated on skewed columns, too. Times without a zone are read as times
+    of the session's zone, as Spark's estimate of a filter fails on an analyzed zone-less column.
+    """
+    sibling = _sibling(spark)
+    for name in ("cbo.enabled", "cbo.joinReorder.enabled", "statistics.histogram.enabled"):
+        sibling.conf.set(f"spark.sql.{name}", "true")
+    sibling.conf.set("spark.sql.parquet.inferTimestampNTZ.enabled", "false")
+    return sibling
+
+
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session with its own SQL settings for stateful streaming.
 
     RocksDB keeps window state off the executor heap. Session windows are merged inside each map
     task before the shuffle, so a hot key sends partial sessions, not its raw rows.
     """
-    sibling = pin_settings(spark.newSession())
-    sibling.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    sibling = _sibling(spark)
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     sibling.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     return sibling

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,3 +72,48 @@ def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
             )
         )
     return reduce(DataFrame.unionByName, parts)
+
+
+# --- statistics kept in the catalog ---------------------------------------------------------------
+
+
+def analyze(spark: SparkSession, name: str, columns: list[str] | None = None) -> None:
+    """Store size and row count of a table in the catalog; with ``columns`` their figures, an empty list takes all columns.
+
+    Figures are those of this moment: a later write leaves them as they are until the next call.
+    """
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+    if columns is not None:
+        wanted = "FOR COLUMNS " + ", ".join(f"`{c}`" for c in columns) if columns else "FOR ALL COLUMNS"
+        spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS {wanted}")
+
+
+def table_statistics(spark: SparkSession, names: dict[str, str]) -> DataFrame:
+    """Rows, columns and bytes of catalog tables as last analyzed, without a look at their files.
+
+    ``names`` maps the name to report to the table. Both figures are null for a table that wasn't analyzed.
+    """
+    rows = []
+    for shown, name in names.items():
+        kept = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Statistics'").collect()
+        stated = re.fullmatch(r"(\d+) bytes(?:, (\d+) rows)?", kept[0]["data_type"]) if kept else None
+        size, n = stated.groups() if stated else (None, None)
+        rows.append((shown, n and int(n), len(spark.table(name).columns), size and int(size)))
+    return spark.createDataFrame(rows, "table_name string, row_count long, column_count long, size_bytes long")
+
+
+COLUMN_FIGURES = {"min": "min_value", "max": "max_value", "num_nulls": "null_count", "distinct_count": "distinct_count"}
+
+
+def column_statistics(spark: SparkSession, name: str, columns: list[str]) -> DataFrame:
+    """One row per column from the catalog: least, greatest, nulls (exact) and distinct values (an estimate).
+
+    Null where a column wasn't analyzed.
+    """
+    rows = []
+    for column in columns:
+        told = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {name} `{column}`").collect()}
+        figures = [None if told.get(k) == "NULL" else told.get(k) for k in COLUMN_FIGURES]
+        rows.append((column, *figures))
+    stated = spark.createDataFrame(rows, "column_name string, " + ", ".join(f"{n} string" for n in COLUMN_FIGURES.values()))
+    return stated.withColumns({n: F.col(n).cast("bigint") for n in ("null_count", "distinct_count")})
