@@ -62,7 +62,11 @@ def reset_table(spark: SparkSession, name: str) -> None:
 
 
 def write_files(df: DataFrame, path: str, files: int) -> None:
-    """Exactly ``files`` Parquet files of even size."""
+    """Exactly ``files`` Parquet files of even size.
+
+    A file is one task's work, which reads its share of the rows, so ``files`` should grow with the table; ``write_clustered`` with
+    ``rows_per_file`` derives the number from the rows.
+    """
     df.repartition(files).write.mode("overwrite").parquet(path)
 
 
