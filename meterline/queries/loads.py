@@ -13,7 +13,7 @@ from meterline.schemas import DOUBLE, INT, TIME, struct
 from meterline.session import run_dir
 from meterline.sinks import tables
 from meterline.sources import catalog
-from meterline.sources.sample import raw_trips
+from meterline.sources.sample import as_trips, raw_trips, trip_inputs
 
 
 # Number of files of the evenly split table: a parameter of the queries and of their SQL.
@@ -30,7 +30,7 @@ ROWS = 10_000
 )
 def repartition_write(spark, sf_dir):
     path = run_dir(spark, "repartitioned")
-    tables.write_files(raw_trips(spark, sf_dir), path, FILES)
+    tables.write_files(trip_inputs(spark, sf_dir), path, FILES, as_trips)
     written = spark.read.parquet(path)
     return written.agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -46,7 +46,7 @@ def repartition_write(spark, sf_dir):
 )
 def file_size_stats(spark, sf_dir):
     path = run_dir(spark, "sized")
-    tables.write_files(raw_trips(spark, sf_dir), path, FILES)
+    tables.write_files(trip_inputs(spark, sf_dir), path, FILES, as_trips)
     written = spark.read.parquet(path)
     listed = catalog.file_list(written).agg(F.sum("size_bytes").alias("listed_bytes"))
     return catalog.file_stats(written).select(

@@ -74,6 +74,19 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+def apart_session(spark: SparkSession) -> SparkSession:
+    """A sibling session with the same settings, in which a union keeps the partitions of its parts.
+
+    Spark otherwise makes one partition of parts that have one each.
+    """
+    sibling = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            sibling.conf.set(key, value)
+    sibling.conf.set("spark.sql.unionOutputPartitioning", "false")
+    return sibling
+
+
 _LOCAL_ROOTS: dict[str, str] = {}
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.operators.layout import quantile_cuts, z_value
+from meterline.session import apart_session
 from meterline.sinks.folders import delete_folder, names_below
 from meterline.sources.catalog import row_count, table_exists
 from meterline.sources.files import conform
@@ -61,13 +64,28 @@ def reset_table(spark: SparkSession, name: str) -> None:
     spark.createDataFrame([], spark.table(name).schema).write.insertInto(name, overwrite=True)
 
 
-def write_files(df: DataFrame, path: str, files: int) -> None:
+def write_files(
+    df: DataFrame, path: str, files: int, finish: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> None:
     """Exactly ``files`` Parquet files of even size.
 
     A file is one task's work, which reads its share of the rows, so ``files`` should grow with the table; ``write_clustered`` with
-    ``rows_per_file`` derives the number from the rows.
+    ``rows_per_file`` derives the number from the rows. To keep that share small the tasks that make the rows deal them to a folder per
+    file, beside ``path``, as compressed columns: about a third of what a shuffle of the same rows takes. The task of a file reads
+    its folder; ``finish`` computes there, row by row, columns that needn't be stored twice.
     """
-    df.repartition(files).write.mode("overwrite").parquet(path)
+    spark = df.sparkSession
+    staged = f"{path.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    # Every task deals its rows in turn, each from another folder on.
+    turn = F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(files)).cast("int")
+    dealt = df.withColumn("__file", turn)
+    try:
+        dealt.write.option("compression", "zstd").partitionBy("__file").parquet(staged)
+        rows = apart_session(spark).read.schema(dealt.schema).parquet(staged)
+        shares = [rows.where(F.col("__file") == i).drop("__file").coalesce(1) for i in range(files)]
+        finish(reduce(DataFrame.union, shares)).write.mode("overwrite").parquet(path)
+    finally:
+        delete_folder(spark, staged)
 
 
 ROWS_PER_FILE = 4_000_000

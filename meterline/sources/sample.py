@@ -91,6 +91,42 @@ def _joined(spark: SparkSession, sf_dir: str, lines: DataFrame, wanted: set[str]
     return out
 
 
+def _both_columns() -> dict[str, Callable[[], Column]]:
+    return {
+        **_raw_columns("trip"),
+        "service_type": lambda: F.when(F.col("l_linestatus") == "F", "Green").otherwise("Yellow"),
+    }
+
+
+# What the raw records of both services are computed from: fewer columns than theirs, and narrower ones.
+INPUTS = [
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+    "o_orderdate",
+    "c_nationkey",
+    "s_nationkey",
+]
+
+
+def trip_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined rows of the raw records of both services, for ``as_trips``."""
+    lines = table(spark, sf_dir, "lineitem")
+    return _joined(spark, sf_dir, lines, {"pickup", "PULocationID", "DOLocationID"}).select(*INPUTS)
+
+
+def as_trips(inputs: DataFrame) -> DataFrame:
+    """The raw records of both services, row by row: ``as_trips(trip_inputs(...))`` is ``raw_trips(...)``."""
+    return inputs.select(*[column().alias(name) for name, column in _both_columns().items()])
+
+
 def raw_trips(
     spark: SparkSession, sf_dir: str, service: str | None = None, columns: list[str] | None = None
 ) -> DataFrame:
@@ -101,13 +137,11 @@ def raw_trips(
     """
     lines = table(spark, sf_dir, "lineitem")
     if service is None:
-        prefix = "trip"
+        available = _both_columns()
     else:
         status, prefix = SERVICES[service]
         lines = lines.where(F.col("l_linestatus") == status)
-    available = _raw_columns(prefix)
-    if service is None:
-        available["service_type"] = lambda: F.when(F.col("l_linestatus") == "F", "Green").otherwise("Yellow")
+        available = _raw_columns(prefix)
     if service == "yellow":
         available.pop("ehail_fee")
         available.pop("trip_type")

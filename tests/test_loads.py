@@ -3,17 +3,18 @@ from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import Observation
+from pyspark.sql import DataFrameWriter, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helpers import rows
+from helpers import plan_of, rows
 from meterline.jobs import batch_report, ingest, monthly_etl
 from meterline.plans.marts import dim_zones
 from meterline.schemas import DOUBLE, GREEN_RAW, INT, LONG, TEXT, YELLOW_RAW, ZONES, struct
 from meterline.sinks import tables
 from meterline.sources import catalog, files, pages
 from meterline.sources.messages import kafka_options
+from meterline.sources.sample import as_trips, raw_trips, trip_inputs
 
 
 def numbers(spark, *pairs):
@@ -248,6 +249,50 @@ def test_batch_report(spark, tmp_path):
     assert rows(got["rare_zones"]) == [(1, "Here", 8), (9, None, 8)]
 
 
+def file_rows(path):
+    return sorted(pq.ParquetFile(f).metadata.num_rows for f in path.glob("*.parquet"))
+
+
+def test_files_are_even_and_written_without_shuffling_their_rows(spark, tmp_path, monkeypatch):
+    plans, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: (plans.append(plan_of(w._df)), parquet(w, *a, **k)))
+    uneven = spark.range(0, 5, 1, 3).union(spark.range(5, 1000, 1, 1)).withColumn("name", F.concat(F.lit("n"), "id"))
+    tables.write_files(uneven, str(tmp_path / "t"), 4)
+    assert plans
+    assert not any("Exchange" in plan for plan in plans)
+    counts = file_rows(tmp_path / "t")
+    assert (len(counts), sum(counts)) == (4, 1000)
+    assert counts[-1] - counts[0] <= 4
+    assert rows(spark.read.parquet(str(tmp_path / "t"))) == rows(uneven)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_files_of_few_rows_and_of_none(spark, tmp_path):
+    out = str(tmp_path / "t")
+    for n in (2, 0):
+        tables.write_files(spark.range(n), out, 4, lambda r: r.withColumn("twice", F.col("id") * 2))
+        stored = spark.read.parquet(out)
+        assert rows(stored, "id", "twice") == [(i, 2 * i) for i in range(n)]
+        assert stored.columns == ["id", "twice"]
+
+
+def test_files_keep_the_session_settings(spark, tmp_path):
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    noon = session.sql("SELECT TIMESTAMP '2025-11-15 12:00:00' AS t")
+    tables.write_files(noon, str(tmp_path / "t"), 1, lambda r: r.withColumn("hour", F.hour("t")))
+    assert session.read.parquet(str(tmp_path / "t")).first().hour == 12
+
+
+def test_trips_of_stored_inputs_are_the_raw_trips(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    tables.write_files(trip_inputs(spark, sf), str(tmp_path / "t"), 4, as_trips)
+    stored, trips = spark.read.parquet(str(tmp_path / "t")), raw_trips(spark, sf)
+    assert stored.dtypes == trips.dtypes
+    assert rows(stored) == rows(trips)
+    assert len(file_rows(tmp_path / "t")) == 4
+
+
 def test_numbered_pages_stop_at_the_first_empty_one(spark, tmp_path):
     lines = ['{"page":1,"body":[{"TripId":1},{"TripId":2}]}', '{"page":2,"body":[{"TripId":3}]}']
     lines += ['{"page":3,"body":[]}', '{"page":4,"body":[{"TripId":9}]}']
